@@ -6,11 +6,12 @@ from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 BATCH_INTERVAL = "5 seconds"
+ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
 def start(writer: DataStreamWriter, checkpoint: str, drain: bool = False) -> StreamingQuery:
@@ -20,14 +21,41 @@ def start(writer: DataStreamWriter, checkpoint: str, drain: bool = False) -> Str
     return writer.start()
 
 
-def each_batch(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, drain: bool = False):
-    """Run `work` on every batch that has rows."""
+def each_batch(
+    stream: DataFrame,
+    work: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    drain: bool = False,
+    hold: bool = False,
+    mode: str = "append",
+) -> StreamingQuery:
+    """Run `work` on every batch that has rows.
+
+    `hold` keeps the batch for the time of `work`, so that stateful operators above it run once although
+    the batch is read more than once. The work itself is planned adaptively; a stream's own plan is not.
+    """
 
     def guarded(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            work(batch, batch_id)
+        with adaptive(batch.sparkSession):
+            if hold:
+                with kept(batch) as rows:
+                    if not rows.isEmpty():
+                        work(rows, batch_id)
+            elif not batch.isEmpty():
+                work(batch, batch_id)
+
+    return start(stream.writeStream.outputMode(mode).foreachBatch(guarded), checkpoint, drain)
+
 
-    return start(stream.writeStream.foreachBatch(guarded), checkpoint, drain)
+@contextmanager
+def adaptive(session: SparkSession):
+    """Adaptive planning, which a stream's session has off, for the batch queries of one micro-batch."""
+    before = session.conf.get(ADAPTIVE)
+    session.conf.set(ADAPTIVE, "true")
+    try:
+        yield
+    finally:
+        session.conf.set(ADAPTIVE, before)
 
 
 @contextmanager
