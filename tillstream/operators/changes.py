@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.functions.keys import source_topic
 
@@ -13,26 +13,35 @@ FACT_CHANGE = "insert"
 ARRAY_CHANGE = "INSERT"
 
 
+def _change(value: str, data: str) -> Column:
+    """The parsed envelope as a one-element array: used inside a generator, a message is parsed once."""
+    return F.array(F.from_json(F.col(value).cast("string"), f"type STRING, table STRING, data {data}"))
+
+
 def route_array_envelope(messages: DataFrame, value: str = "value") -> DataFrame:
     """`{type, table, data: [..]}`: one row per element of `data` for upper-case inserts of any table."""
-    envelope = F.from_json(F.col(value).cast("string"), "type STRING, table STRING, data ARRAY<STRING>")
-    return (
-        messages.select(envelope.alias("change"))
-        .filter(F.col("change.type") == ARRAY_CHANGE)
-        .select(source_topic(F.col("change.table")).alias("topic"), F.explode("change.data").alias("value"))
+    inserts = F.filter(_change(value, "ARRAY<STRING>"), lambda c: c["type"] == ARRAY_CHANGE)
+    routed = F.transform(
+        inserts,
+        lambda c: F.transform(
+            c["data"], lambda row: F.struct(source_topic(c["table"]).alias("topic"), row.alias("value"))
+        ),
     )
+    return messages.select(F.inline(F.flatten(routed)))
 
 
 def route_single_envelope(messages: DataFrame, value: str = "value", drop_deletes: bool = False) -> DataFrame:
     """`{type, table, data: {..}}`: facts on insert, dimensions on any change, nothing else, no empty data."""
-    envelope = F.from_json(F.col(value).cast("string"), "type STRING, table STRING, data STRING")
-    kind, table, data = F.col("change.type"), F.col("change.table"), F.col("change.data")
-    wanted = (table.isin(FACT_TABLES) & (kind == FACT_CHANGE)) | table.isin(DIMENSION_TABLES)
-    if drop_deletes:
-        wanted = wanted & (kind != "delete")
-    has_fields = F.size(F.json_object_keys(data)) > 0
-    return (
-        messages.select(envelope.alias("change"))
-        .filter(wanted & data.isNotNull() & has_fields)
-        .select(source_topic(table).alias("topic"), data.alias("value"))
+
+    def wanted(change: Column) -> Column:
+        kind, table = change["type"], change["table"]
+        routed = (table.isin(FACT_TABLES) & (kind == FACT_CHANGE)) | table.isin(DIMENSION_TABLES)
+        if drop_deletes:
+            routed = routed & (kind != "delete")
+        return routed & (F.size(F.json_object_keys(change["data"])) > 0)
+
+    routed = F.transform(
+        F.filter(_change(value, "STRING"), wanted),
+        lambda c: F.struct(source_topic(c["table"]).alias("topic"), c["data"].alias("value")),
     )
+    return messages.select(F.inline(routed))

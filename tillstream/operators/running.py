@@ -22,32 +22,27 @@ def running_sums(
     block: Column,
     hot: DataFrame,
 ) -> DataFrame:
-    """Add `sums[name] -> name`, the sum of a column over the rows of the group up to and with this one.
+    """Add `name`: the sum of the column `sums[name]` over the rows of the group up to and with this one.
 
-    `block` must not decrease along `order`. Rows of the groups listed in `hot` (few, broadcast) are
-    spread by (group, block): each block is summed on its own, the block totals are summed in order,
-    and the total before a block is added to its rows. All other groups are a single block.
+    The groups in `hot` (few, broadcast) are spread by (group, block): each block is summed on its own,
+    the block totals are summed in order, and the total before a block is added to its rows. `block`
+    must not decrease along `order`. All other groups are summed whole, on the partitioning by group
+    that a join before may have left.
     """
-    hot = F.broadcast(hot.select(group).withColumn("__hot", F.lit(True)))
-    block_key = "__block"
-
-    spread = rows.join(hot, group, "left").withColumn(
-        block_key, F.when(F.col("__hot"), block).otherwise(F.lit(0)).cast("bigint")
-    )
-    inside = Window.partitionBy(group, block_key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = spread.withColumns({name: F.sum(column).over(inside) for name, column in sums.items()})
-
-    totals = (
-        rows.join(hot, group)
-        .groupBy(group, block.cast("bigint").alias(block_key))
-        .agg(*[F.sum(column).alias(f"__total_{name}") for name, column in sums.items()])
-    )
-    before = Window.partitionBy(group).orderBy(block_key).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        group, block_key, *[F.sum(f"__total_{name}").over(before).alias(f"__before_{name}") for name in sums]
-    )
-    return (
-        summed.join(offsets, [group, block_key], "left")
-        .withColumns({name: F.col(name) + F.coalesce(F.col(f"__before_{name}"), F.lit(0)) for name in sums})
-        .select(*rows.columns, *sums)
+    few = F.broadcast(hot.select(group))
+    key = "__block"
+
+    whole = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    usual = rows.join(few, group, "left_anti").withColumns({n: F.sum(c).over(whole) for n, c in sums.items()})
+
+    placed = rows.join(few, group, "left_semi").withColumn(key, block.cast("bigint"))
+    totals = placed.groupBy(group, key).agg(*[F.sum(c).alias(f"__total_{n}") for n, c in sums.items()])
+    before = Window.partitionBy(group).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(group, key, *[F.sum(f"__total_{n}").over(before).alias(f"__before_{n}") for n in sums])
+    inside = Window.partitionBy(group, key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # without the explicit repartition, rows already partitioned by group would stay together
+    spread = placed.repartition(group, key).withColumns({n: F.sum(c).over(inside) for n, c in sums.items()})
+    split = spread.join(offsets, [group, key]).withColumns(
+        {n: F.coalesce(F.col(n) + F.col(f"__before_{n}"), F.col(n), F.col(f"__before_{n}")) for n in sums}
     )
+    return usual.unionByName(split.select(*usual.columns))
