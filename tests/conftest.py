@@ -11,9 +11,12 @@ from tillstream.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("shared")
-    session = local_session(
-        4, "tests", **{"spark.checkpoint.dir": str(folder), "spark.sql.warehouse.dir": f"{folder}/warehouse"}
-    )
+    settings = {
+        "spark.checkpoint.dir": str(folder),
+        "spark.sql.warehouse.dir": f"{folder}/warehouse",
+        "spark.sql.shuffle.partitions": "2",
+    }
+    session = local_session(4, "tests", **settings)
     yield session
     session.stop()
 

@@ -57,9 +57,10 @@ def order_records(orders: DataFrame, customers: DataFrame | None = None) -> Data
 
 
 def first_lines(lineitem: DataFrame, *columns: str) -> DataFrame:
-    """One line per (order, line number): the one with the lowest part and supplier."""
-    wanted = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *columns]
-    return first_per_key(lineitem.select(*wanted), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    """One line per (order, line number): the one with the lowest part, supplier and quantity."""
+    order = ["l_partkey", "l_suppkey", "l_quantity"]
+    wanted = ["l_orderkey", "l_linenumber", *order, *columns]
+    return first_per_key(lineitem.select(*wanted), ["l_orderkey", "l_linenumber"], order)
 
 
 def detail_records(lines: DataFrame, line_id=None) -> DataFrame:
@@ -75,7 +76,8 @@ def detail_records(lines: DataFrame, line_id=None) -> DataFrame:
 
 def unique_line_id():
     """An id unique among all lines of an order."""
-    return (F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")) * 10 + F.col("l_linenumber")
+    item = (F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")) * 10 + F.col("l_linenumber")
+    return item * 100 + F.col("l_quantity").cast("bigint")
 
 
 def provinces(nations: DataFrame) -> DataFrame:

@@ -123,7 +123,7 @@ def detail_with_sku(spark, folder):
     SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_id, amount AS line_cents,
            CAST(sum(amount) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS BIGINT) AS running_cents
     FROM (SELECT *, CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) * CAST(l_quantity AS BIGINT) AS amount,
-                 row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
+                 row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) AS rn
           FROM lineitem)
     WHERE rn = 1
     """
@@ -131,7 +131,7 @@ def detail_with_sku(spark, folder):
 def order_running_sums(spark, folder):
     """Price times quantity, summed line by line within each order."""
     lineitem = load(spark, folder, "lineitem")
-    lines = inputs.first_lines(lineitem, "l_extendedprice", "l_quantity").select(
+    lines = inputs.first_lines(lineitem, "l_extendedprice").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("bigint").alias("line_id"),
         line_amount(cents(F.col("l_extendedprice")), F.col("l_quantity").cast("bigint")).alias("line_cents"),
