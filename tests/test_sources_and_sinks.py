@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from tillstream.schemas import record
 from tillstream.session import workspace
-from tillstream.sinks.batches import committed_results, offset_ledger, write_batch, write_results_with_offsets
+from tillstream.sinks.batches import complete_numbers, committed_results, offset_ledger, write_batch, write_results_with_offsets
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sinks.stores import append_to_database, show_batches
 from tillstream.sources.tables import sql_rows, table_stream
@@ -115,6 +115,7 @@ def test_keyed_table(spark, rows):
     assert rows(stored.read(spark, before=2)) == now
     assert rows(stored.read(spark, before=1)) == [(1, "b", 2), (2, "c", 1)]
     stored.compact(spark, 2, keep=F.col("n") > 0)
+    assert complete_numbers(spark, f"{stored.path}/changes", "batch_id") == [2], "changes of the older base are gone"
     assert rows(stored.read(spark)) == [(2, "e", 5)]
 
 

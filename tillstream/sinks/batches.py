@@ -13,15 +13,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def complete_numbers(spark: SparkSession, root: str, mark: str) -> list[int]:
-    """The N of the completely written `root/mark=N` folders. One folder name per batch comes to the driver."""
+def _numbers(spark: SparkSession, root: str, mark: str):
+    """The N of the `root/mark=N` folders, and their file system. One folder name per batch comes to the driver."""
     target = spark._jvm.org.apache.hadoop.fs.Path(root)
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(target):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(target)]
-    numbers = sorted(int(name.split("=")[1]) for name in names if name.startswith(f"{mark}="))
-    return [n for n in numbers if path_exists(spark, f"{root}/{mark}={n}/_SUCCESS")]
+    names = [status.getPath().getName() for status in files.listStatus(target)] if files.exists(target) else []
+    return sorted(int(name.split("=")[1]) for name in names if name.startswith(f"{mark}=")), files
+
+
+def complete_numbers(
+    spark: SparkSession, root: str, mark: str, above: float = float("-inf"), below: float = float("inf")
+) -> list[int]:
+    """The N of the completely written `root/mark=N` folders between two bounds."""
+    numbers, _ = _numbers(spark, root, mark)
+    return [n for n in numbers if above < n < below and path_exists(spark, f"{root}/{mark}={n}/_SUCCESS")]
+
+
+def forget_numbers(spark: SparkSession, root: str, mark: str, upto: int) -> None:
+    """Delete the `root/mark=N` folders with N up to a bound."""
+    numbers, files = _numbers(spark, root, mark)
+    for n in numbers:
+        if n <= upto:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{mark}={n}"), True)
 
 
 def write_batch(rows: DataFrame, root: str, batch_id: int, partition_by: list[str] | None = None) -> bool:

@@ -1,19 +1,22 @@
 """A table with keyed upserts, kept as a base and one change folder per batch.
 
-A write costs as much as its batch, not as the table. A read takes the latest row per key over the
-base and the changes after it. `compact` folds the changes into a new base. A repeated batch writes
-the same folder again, and `read(before=N)` gives the table as batch N found it.
+A write costs as much as its batch, not as the table. The base has one row per key already, so a read
+sorts only the changes after it and drops their keys from the base: with few changes the base is
+scanned without a shuffle. `compact` folds the changes into a new base. A repeated batch changes
+nothing, and `read(before=N)` gives the table as batch N found it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tillstream.operators.keyed import latest_per_key
-from tillstream.sinks.batches import complete_numbers, path_exists, write_batch
+from tillstream.sinks.batches import complete_numbers, forget_numbers, path_exists, write_batch
 
 
 @dataclass(frozen=True)
@@ -35,13 +38,9 @@ class KeyedTable:
 
     def _versions(self, spark: SparkSession, before: int | None) -> tuple[list[int], list[int]]:
         """The newest complete base (or none), and the complete changes after it."""
-        bases = [n for n in complete_numbers(spark, f"{self.path}/base", "upto") if before is None or n < before]
-        newest = max(bases, default=-1)
-        changes = complete_numbers(spark, f"{self.path}/changes", "batch_id")
-        return (
-            [newest] if bases else [],
-            [n for n in changes if n > newest and (before is None or n < before)],
-        )
+        end = float("inf") if before is None else before
+        bases = complete_numbers(spark, f"{self.path}/base", "upto", below=end)[-1:]
+        return bases, complete_numbers(spark, f"{self.path}/changes", "batch_id", *bases, below=end)
 
     def upsert(self, rows: DataFrame, batch_id: int) -> int:
         """Write a batch of rows, the last per key by `order`; returns the number of rows written."""
@@ -55,12 +54,24 @@ class KeyedTable:
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """Current rows, or those before a batch."""
-        base, changes = self._versions(spark, before)
-        rows = self._load(spark, "base", "upto", base).unionByName(self._load(spark, "changes", "batch_id", changes))
-        return latest_per_key(rows, self.keys, ["__batch", *self.order]).select(*self.schema.fieldNames())
+        bases, numbers = self._versions(spark, before)
+        base = self._load(spark, "base", "upto", bases)
+        changes = latest_per_key(
+            self._load(spark, "changes", "batch_id", numbers), self.keys, ["__batch", *self.order]
+        )
+        if bases and numbers:
+            changed = changes.select(*[F.col(key).alias(f"__{key}") for key in self.keys])
+            same = [base[key].eqNullSafe(changed[f"__{key}"]) for key in self.keys]
+            rows = base.join(changed, reduce(and_, same), "left_anti").unionByName(changes)
+        else:
+            rows = base if bases else changes
+        return rows.select(*self.schema.fieldNames())
 
     def compact(self, spark: SparkSession, upto: int, keep=None) -> None:
-        """Write the table as of the end of batch `upto` as a base; `keep` drops rows past their time."""
+        """Write the table as of the end of batch `upto` as a base; `keep` drops rows past their time.
+
+        The newest two bases stay, and the changes after the older one, for batches run again.
+        """
         path = f"{self.path}/base/upto={upto}"
         if path_exists(spark, f"{path}/_SUCCESS"):
             return
@@ -71,3 +82,7 @@ class KeyedTable:
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(path)
+        bases = complete_numbers(spark, f"{self.path}/base", "upto")
+        if len(bases) > 1:
+            forget_numbers(spark, f"{self.path}/base", "upto", upto=bases[-2] - 1)
+            forget_numbers(spark, f"{self.path}/changes", "batch_id", upto=bases[-2])
