@@ -111,11 +111,15 @@ def test_first_per_key_is_limited_before_the_shuffle(spark, skewed):
 
 
 def test_flag_does_not_shuffle_all_orders_by_user(spark):
-    batch = spark.range(100_000).select("id", (F.col("id") % 3).alias("user_id"), F.lit("t").alias("create_time"), F.lit("x").alias("more"))
-    for step in plan(with_first_flag(batch)).split("\n"):
-        if "Exchange hashpartitioning(user_id" in step:
-            return
-    raise AssertionError("expected the reduced rows to be shuffled by user")
+    """Only the limited rows go to the user's task; the whole rows meet their flag by order id."""
+    batch = spark.range(100_000).select(
+        "id", (F.col("id") % 3).alias("user_id"), F.lit("t").alias("create_time"), F.col("id").alias("payload")
+    )
+    steps = plan(with_first_flag(batch)).split("\n")
+    by_user = [i for i, step in enumerate(steps) if "Exchange hashpartitioning(user_id" in step]
+    assert len(by_user) == 1
+    assert "WindowGroupLimit" in steps[by_user[0] + 1] and "Partial" in steps[by_user[0] + 1]
+    assert not any("payload" in step for step in steps[by_user[0] :])
 
 
 def test_interval_join_splits_a_key_along_time(spark):

@@ -131,6 +131,15 @@ def test_keyed_table_with_days_and_nested_documents(spark, rows):
     assert "PartitionFilters: [isnotnull(dt" in found.filter("dt = '2024-01-01'")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_put_one_document(spark, rows):
+    schema = StructType.fromDDL("id BIGINT, name STRING, score FLOAT, actors ARRAY<STRUCT<id: BIGINT, name: STRING>>")
+    stored = KeyedTable(workspace(spark, "films"), schema, ["id"])
+    assert stored.put(spark, '{"id": 200, "name": "river", "score": 8.0, "actors": [{"id": 3, "name": "zhang"}]}', 0) == 1
+    stored.put(spark, {"id": 300, "name": "天龙八部", "score": 9.0, "actors": [{"id": 66, "name": "李"}]}, 1)
+    stored.put(spark, {"id": 200, "name": "river two"}, 2)
+    assert rows(stored.read(spark)) == [(200, "river two", None, None), (300, "天龙八部", 9.0, [(66, "李")])]
+
+
 def test_repeated_batch_is_skipped(spark):
     root = workspace(spark, "batches")
     assert write_batch(spark.range(3), root, 4)

@@ -10,9 +10,10 @@ from tillstream.operators.first_orders import status_updates, with_first_flag
 from tillstream.plans import inputs
 from tillstream.plans.inputs import load
 from tillstream.session import workspace
-from tillstream.sinks.batches import committed_results, offset_ledger
+from tillstream.sinks.batches import committed_results, offset_ledger, path_exists
 from tillstream.sources.tables import table_stream
 from tillstream.sources.topics import FileTopics
+from tillstream.streaming import launch
 from tillstream.streaming.jobs import Warehouse
 from tillstream.streaming.runs import each_batch
 from tillstream.streaming.state import dedup_within, join_within
@@ -41,8 +42,8 @@ def folder_of(spark, frame, name, files):
 
 
 def test_daily_active_in_several_batches(spark, rows, warehouse):
-    log = inputs.start_log(load(spark, SMALL, "events")).withColumn("n", (F.col("offset") / 250).cast("int") + 1)
-    for part in range(1, 5):
+    log = inputs.start_log(load(spark, SMALL, "events")).withColumn("n", (F.col("offset") / 500).cast("int"))
+    for part in range(2):
         sent = log.filter(F.col("n") == part).select(F.lit("start").alias("topic"), "value")
         warehouse.topics.write(sent.coalesce(1), "log", part)
         warehouse.daily_active("start").awaitTermination()
@@ -56,10 +57,10 @@ def test_daily_active_in_several_batches(spark, rows, warehouse):
 def test_first_flags_in_several_batches(spark, rows, warehouse):
     """The flags of a stream cut by time are those of the whole table."""
     orders = inputs.order_records(load(spark, SMALL, "orders").filter("o_custkey % 10 = 3"))
-    cuts = ["1996-06-01", "1998-01-01", "1999-09-01"]
+    cuts = ["1997-01-01", "1999-01-01"]
     part = sum(F.when(F.col("create_time") >= c, 1).otherwise(0) for c in cuts)
     sent = orders.select(F.lit("ods_order_info").alias("topic"), F.to_json(F.struct("*")).alias("value"), part.alias("n"))
-    for n in range(4):
+    for n in range(3):
         warehouse.topics.write(sent.filter(F.col("n") == n).drop("n"), "orders", n)
         warehouse.orders().awaitTermination()
     flags = warehouse.order_index.read(spark).select("id", "if_first_order")
@@ -203,3 +204,14 @@ def test_array_envelopes_by_stream(spark, rows, warehouse):
     warehouse.route("changes", envelope="array").awaitTermination()
     routed = spark.read.parquet(f"{warehouse.topics.root}/producer=route_array")
     assert rows(routed.select("topic", "value")) == [("ods_order_info", '{"id":"1"}'), ("ods_order_info", '{"id":"2"}')]
+
+
+def test_jobs_start_from_the_command_line(spark, rows, warehouse):
+    send(warehouse, "ods_spu_info", 0, {"id": "2", "spu_name": "covers"}, {"id": "2", "spu_name": "sleeves"})
+    place = ["--topic-folder", warehouse.topics.root, "--root", warehouse.root, "--drain"]
+    launch.start(spark, launch.arguments([*place, "dimension", "spu_info"])).awaitTermination()
+    assert rows(warehouse.spus.read(spark)) == [("2", "sleeves")]
+    send(warehouse, "changes", 0, {"type": "delete", "table": "spu_info", "data": {"id": "2"}})
+    launch.start(spark, launch.arguments([*place, "route-single", "changes", "--drop-deletes"])).awaitTermination()
+    assert launch.arguments([*place, "wide-orders"]).job == "wide-orders"
+    assert not path_exists(spark, f"{warehouse.topics.root}/producer=route_single")

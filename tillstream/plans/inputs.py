@@ -38,9 +38,9 @@ def start_log(events: DataFrame) -> DataFrame:
     )
 
 
-def order_records(orders: DataFrame, customers: DataFrame | None = None) -> DataFrame:
-    """Orders as order_info; the province is the customer's nation."""
-    records = orders.select(
+def order_records(orders: DataFrame) -> DataFrame:
+    """Orders as order_info, without the province."""
+    return orders.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_custkey").alias("user_id"),
@@ -50,8 +50,10 @@ def order_records(orders: DataFrame, customers: DataFrame | None = None) -> Data
         F.lit(0.0).alias("feight_fee"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
     )
-    if customers is None:
-        return records
+
+
+def in_home_province(records: DataFrame, customers: DataFrame) -> DataFrame:
+    """Order records with the customer's nation as province."""
     home = customers.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("bigint").alias("province_id"))
     return records.join(home, "user_id", "left")
 

@@ -87,7 +87,7 @@ def new_users_in_batch(spark, folder):
     """
 )
 def order_with_province(spark, folder):
-    orders = inputs.order_records(load(spark, folder, "orders"), load(spark, folder, "customer"))
+    orders = inputs.in_home_province(inputs.order_records(load(spark, folder, "orders")), load(spark, folder, "customer"))
     found = lookups.with_province(orders, inputs.provinces(load(spark, folder, "nation")))
     return found.select("id", "province_id", "province_name", "province_area_code", "province_iso_code")
 

@@ -13,6 +13,11 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join side even when the operator above then needs its own shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # stream state outside the heap, checkpointed as changes
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -8,6 +8,7 @@ nothing, and `read(before=N)` gives the table as batch N found it.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
@@ -15,6 +16,7 @@ from operator import and_
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tillstream.functions.documents import parse_records
 from tillstream.operators.keyed import latest_per_key
 from tillstream.sinks.batches import complete_numbers, forget_numbers, path_exists, write_batch
 
@@ -52,6 +54,11 @@ class KeyedTable:
         )
         return counted.get["rows"] if write_batch(batch, f"{self.path}/changes", batch_id, self.partition_by) else 0
 
+    def put(self, spark: SparkSession, document: str | dict, batch_id: int) -> int:
+        """Upsert one document, given as JSON text or as a (nested) dict."""
+        text = document if isinstance(document, str) else json.dumps(document, ensure_ascii=False)
+        return self.upsert(parse_records(spark.createDataFrame([(text,)], "value string"), self.schema), batch_id)
+
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """Current rows, or those before a batch."""
         bases, numbers = self._versions(spark, before)
