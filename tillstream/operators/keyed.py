@@ -13,7 +13,11 @@ MOST_HOT_KEYS = 4096
 
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
-    """The first row of every key; `order` must be total for a repeatable result."""
+    """The first row of every key; `order` must be total for a repeatable result.
+
+    Best called before any step that partitions by the same key: after one there is no shuffle left to
+    limit the rows for.
+    """
     ranked = rows.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("__rank") == 1).drop("__rank")
 

@@ -76,13 +76,13 @@ def dim_latest_by_key(spark, folder):
 
 @registry.query(
     """
-    SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'moved' ELSE c_mktsegment END AS segment,
-           CAST(CASE WHEN c_custkey % 3 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS BIGINT) AS nation
+    SELECT c_custkey AS id, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'moved' ELSE c_mktsegment END AS segment,
+           CAST(CASE WHEN c_mktsegment = 'MACHINERY' THEN c_nationkey + 1 ELSE c_nationkey END AS BIGINT) AS nation
     FROM customer
     """
 )
 def dim_upsert(spark, folder):
-    """All customers, then a batch changing every third one, through a keyed table with a compaction between."""
+    """All customers, then a batch changing one market segment, through a keyed table with a compaction between."""
     customers = load(spark, folder, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"),
         F.col("c_nationkey").cast("bigint").alias("nation"),
@@ -91,7 +91,7 @@ def dim_upsert(spark, folder):
     stored = KeyedTable(workspace(spark, "dim_upsert"), schema, ["id"])
     stored.upsert(customers, 0)
     stored.compact(spark, 0)
-    moved = customers.filter(F.col("id") % 3 == 0)
+    moved = customers.filter(F.col("segment") == "MACHINERY")
     stored.upsert(moved.withColumns({"segment": F.lit("moved"), "nation": F.col("nation") + 1}), 1)
     return stored.read(spark)
 

@@ -13,18 +13,27 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join side even when the operator above then needs its own shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # stream state outside the heap, checkpointed as changes
+}
+
+# On a cluster: stream state outside the heap, checkpointed as changes.
+STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on; sizes and parallelism stay with the cluster."""
-    for key, value in RUNTIME_SETTINGS.items():
+    context = spark.sparkContext
+    local = context.master.startswith("local")
+    for key, value in (RUNTIME_SETTINGS if local else RUNTIME_SETTINGS | STATE_SETTINGS).items():
         spark.conf.set(key, value)
+    if local and spark.conf.get(SHUFFLE_PARTITIONS) == "200":
+        # on one machine Spark's default only makes many small state stores
+        spark.conf.set(SHUFFLE_PARTITIONS, str(context.defaultParallelism))
     return spark
 
 
@@ -35,7 +44,7 @@ def local_session(cpus: int | str = "*", name: str = "tillstream", **settings: s
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
-        .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
+        .config(SHUFFLE_PARTITIONS, "8" if cpus == "*" else str(cpus))
     )
     for key, value in settings.items():
         builder = builder.config(key, value)
