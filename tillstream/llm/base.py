@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillstream.session import workspace
@@ -37,3 +37,17 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """Rows a model must not learn from: crc32 of the id as text leaves remainder 1 when divided by 3."""
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 3 == 1
+
+
+def smallest(rows: DataFrame, size: int, within: str | None = None) -> DataFrame:
+    """The rows of the `size` ids with the smallest hash, in all or of each value of a column; one row per id.
+
+    The ids are chosen from narrow rows and written, so that Spark knows how few they are when it joins the texts.
+    """
+    group = F.col(within) if within else F.lit(0)
+    ids = rows.select("doc_id", group.alias("of")).where("doc_id IS NOT NULL").distinct()
+    order = Window.partitionBy("of").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = ids.withColumn("nr", F.row_number().over(order)).where(F.col("nr") <= size).select("doc_id", "nr")
+    ids = written(ids.groupBy("doc_id").agg(F.min("nr").alias("nr")), "sample")
+    others = [F.min(name).alias(name) for name in rows.columns if name != "doc_id"]
+    return rows.join(ids, "doc_id").groupBy("doc_id", "nr").agg(*others)

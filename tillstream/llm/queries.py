@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillstream.llm import decontamination, exact_dedup, line_dedup, packing, sql, url_filter, warc
+from tillstream.llm import (
+    decontamination, exact_dedup, html_text, language, line_dedup, near_dedup, packing, quality, sql, url_filter, warc,
+)
 from tillstream.llm.base import table
 from tillstream.plans.registry import Registry
 from tillstream.session import tune
@@ -18,12 +20,31 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@registry.query()
+def op1_near_dedup(spark, folder):
+    """Near-duplicate groups; the document with the smallest id stays."""
+    return near_dedup.near_groups(table(tune(spark), folder, "documents")).drop("class_id")
+
+
+@registry.query()
+def op2_quality(spark, folder):
+    """Quality score of every document."""
+    tune(spark)
+    return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @registry.query(sql.URL_FILTER)
 def op3_url_filter(spark, folder):
     """Host, path, rule and verdict of every page's URL."""
     return url_filter.judged_pages(table(tune(spark), folder, "pages"))
 
 
+@registry.query()
+def op4_language(spark, folder):
+    """Language of every document."""
+    return language.identify(table(tune(spark), folder, "documents"))
+
+
 @registry.query(sql.EXACT_DEDUP)
 def op5_exact_dedup(spark, folder):
     """Groups of equal texts and the row that stays."""
@@ -48,6 +69,12 @@ def op7_decontamination(spark, folder):
     return found.drop("items", "hits")
 
 
+@registry.query()
+def op8_html_text(spark, folder):
+    """Main text of every page."""
+    return html_text.main_text(table(tune(spark), folder, "pages"))
+
+
 @registry.query()
 def op9_packing(spark, folder):
     """Pieces of the packed token sequences."""
