@@ -99,11 +99,12 @@ def _windows(words: Column, hit: Column, span: int, gram: int) -> Column:
     return F.transform(back, lambda i: F.struct((hit["at"] - i).alias("start"), hit["span"].alias("span"), hit["item_id"].alias("item")))
 
 
-def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, hits (start word, words, item)."""
+def _with_hits(docs: DataFrame, items: DataFrame, span: int, gram: int) -> DataFrame:
+    """Every document as a struct, with its words and its hits (start word, words, item)."""
     index, shorter = benchmark_index(items, span, gram)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.withColumn("text_key", F.xxhash64("text"))
+    texts = docs.select(
+        F.struct("*").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
+    ).withColumn("text_key", F.xxhash64("text"))
     worded = texts.select("doc_id", "text_key", words_of(F.col("text")).alias("words"))
     prints = fingerprints(worded, ["doc_id", "text_key"], shorter, span, gram)
     candidates = (
@@ -113,15 +114,24 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
     )
     d, c = texts.alias("d"), candidates.alias("c")
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_key") == F.col("c.text_key"))
-    rows = d.join(c, same, "left").select(
-        "d.doc_id", words_of(F.col("d.text")).alias("words"), F.col("c.found").alias("found")
-    )
+    rows = d.join(c, same, "left").select("d.doc", words_of(F.col("d.text")).alias("words"), F.col("c.found").alias("found"))
     hits = F.when(
         F.col("found").isNotNull(),
         F.array_distinct(F.flatten(F.transform("found", lambda hit: _windows(F.col("words"), hit, span, gram)))),
     )
     none = F.array().cast("array<struct<start: int, span: int, item: string>>")
-    rows = rows.select("doc_id", F.size("words").cast("bigint").alias("n_words"), F.coalesce(hits, none).alias("hits"))
+    return rows.select("doc", "words", F.coalesce(hits, none).alias("hits"))
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """The documents without a hit, with all their columns."""
+    return _with_hits(docs, items, span, gram).where(F.size("hits") == 0).select("doc.*")
+
+
+def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, hits (start word, words, item)."""
+    rows = _with_hits(docs.select("doc_id", "text"), items, span, gram)
+    rows = rows.select("doc.doc_id", F.size("words").cast("bigint").alias("n_words"), "hits")
     covered = F.array_distinct(
         F.flatten(F.transform("hits", lambda hit: F.sequence(hit["start"], hit["start"] + hit["span"] - 1)))
     )

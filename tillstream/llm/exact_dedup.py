@@ -119,3 +119,10 @@ def exact_groups(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("locator") == F.col("keep.locator")).alias("kept"), "text_sha256", "locator",
     )
+
+
+def without_copies(docs: DataFrame) -> DataFrame:
+    """The rows that stay, with all their columns."""
+    kept = exact_groups(docs).where("kept").select("locator")
+    rows = docs.select(F.struct("*").alias("doc"), located(docs).alias("locator"))
+    return rows.join(kept, "locator", "left_semi").select("doc.*")

@@ -21,8 +21,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tillstream.llm.base import filled, held_out, smallest
 
@@ -32,6 +33,7 @@ PER_LANGUAGE = 400
 LANDMARKS = 16
 RIDGE = 1e-2
 SHARPNESS = 4.0
+LEAST_SCORE = 0.3
 UNKNOWN = "und"
 _STARTS = np.cumsum([0, *(1 << bits for bits in ORDER_BITS)])
 SIZE = int(_STARTS[-1])
@@ -110,36 +112,56 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int =
     return Model(languages, chosen, weights.astype(np.float32))
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every text."""
-    text = filled(F.col("text"))
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
-        F.when(text.rlike(r"\p{L}"), text).otherwise("").alias("text"),
-    )
-    if model is None:
-        return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+def predictor(docs: DataFrame, model: Model):
+    """A column function from text to struct<lang_pred, score>; its argument is empty for texts without a letter."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # landmarks times languages rows of a few KB
+    kind = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
-    def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(kind)
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
         scorer, names = model.scorer(), np.array(model.languages, dtype=object)
         for part in parts:
-            texts, known = list(part["text"]), (part["text"] != "").to_numpy()
-            scores = np.concatenate([
-                scorer(np.stack([presence(text) for text in texts[at : at + _ROWS]])) for at in range(0, len(texts), _ROWS)
-            ]) if texts else np.zeros((0, len(names)))
+            texts, known = list(part), (part != "").to_numpy()
+            scores = [scorer(np.stack([presence(text) for text in texts[at : at + _ROWS]])) for at in range(0, len(texts), _ROWS)]
+            scores = np.concatenate(scores) if scores else np.zeros((0, len(names)))
             yield pd.DataFrame(
                 {
-                    "doc_id": part["doc_id"].astype("Int64"), "held_out": part["held_out"],
                     "lang_pred": np.where(known, names[scores.argmax(axis=1)], UNKNOWN),
                     "score": np.where(known, scores.max(axis=1, initial=0), 0.0).astype(float),
                 }
-            )
+            )
+
+    return score
 
-    return rows.mapInPandas(score, "doc_id bigint, held_out boolean, lang_pred string, score double")
+
+def _lettered(text: Column) -> Column:
+    text = filled(text)
+    return F.when(text.rlike(r"\p{L}"), text).otherwise("")
+
+
+def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every text."""
+    ids = [F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out")]
+    if model is None:
+        return docs.select(*ids, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    found = docs.select(*ids, predictor(docs, model)(_lettered(F.col("text"))).alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+def learnt_from(docs: DataFrame) -> Model | None:
+    """The model of the rows that are not held out."""
+    return fit(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """Learn from the rows that are not held out and predict all."""
-    return predict(docs, fit(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang")))
+    return predict(docs, learnt_from(docs))
+
+
+def accepted(docs: DataFrame, model: Model | None, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The documents in a known language: those with a letter and a score above chance; all columns as they were."""
+    if model is None:
+        return docs.where(F.lit(False))
+    found = docs.select(F.struct("*").alias("doc"), predictor(docs, model)(_lettered(F.col("text"))).alias("found"))
+    return found.where(F.col("found.lang_pred") != UNKNOWN).where(F.col("found.score") >= least_score).select("doc.*")

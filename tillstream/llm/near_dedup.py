@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm.base import filled, written
@@ -189,7 +189,7 @@ def _linked(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         placed = written(placed, "near-placed")
         open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         still = placed.join(open_keys.where("low <> high").select("key"), "key", "left_semi")
-        order = F.row_number().over(_by_key())
+        order = F.row_number().over(Window.partitionBy("key").orderBy("id"))
         hubs = still.withColumn("nr", order).where(F.col("nr") <= hubs_each).select(
             "key", F.col("id").alias("hub"), F.col("component").alias("hub_component")
         )
@@ -218,14 +218,8 @@ def _linked(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return labels
 
 
-def _by_key():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("key").orderBy("id")
-
-
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept, class_id (equal sets have equal ones)."""
+    """One row per document: doc_id, n_shingles, component_id, kept, class_id (equal sets have equal ones), text_key."""
     signed = written(signatures(docs), "near-signatures")
     classes = _classes(signed)
     labels = _linked(docs, classes, percent)
@@ -236,9 +230,20 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     of_digest = placed.join(lowest, "component").select(
         F.col("digest").alias("of_digest"), F.col("id").alias("class_id"), "component_id"
     )
-    rows = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
+    rows = signed.select("doc_id", "text_key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
     rows = rows.join(of_digest, F.col("digest") == F.col("of_digest"), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "class_id"
-    )
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "class_id",
+        "text_key",
+    )
+
+
+def without_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The document of each component that stays, with all its columns."""
+    kept = near_groups(docs, percent).where("kept").select("doc_id", "text_key").alias("k")
+    rows = docs.select(
+        F.struct("*").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(filled(F.col("text"))).alias("text_key")
+    ).alias("r")
+    same = F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("r.text_key") == F.col("k.text_key"))
+    return rows.join(kept, same, "left_semi").select("doc.*")

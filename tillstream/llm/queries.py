@@ -23,7 +23,7 @@ def tokenizer_path() -> str:
 @registry.query()
 def op1_near_dedup(spark, folder):
     """Near-duplicate groups; the document with the smallest id stays."""
-    return near_dedup.near_groups(table(tune(spark), folder, "documents")).drop("class_id")
+    return near_dedup.near_groups(table(tune(spark), folder, "documents")).drop("class_id", "text_key")
 
 
 @registry.query()
