@@ -7,9 +7,10 @@ from pyspark.sql import Window, functions as F
 from tillstream.operators.allocation import allocate_payment
 from tillstream.operators.first_orders import with_first_flag
 from tillstream.operators.intervals import interval_join
-from tillstream.operators.keyed import first_per_key, hot_keys
-from tillstream.operators.running import id_block, running_sums
+from tillstream.operators.keyed import first_per_key
+from tillstream.operators.running import running_sums
 from tillstream.plans import daily_active, orders, texts, wide_orders
+from tillstream.sinks.batches import staged
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -28,33 +29,34 @@ def skewed(spark):
     return spark.createDataFrame(rows, "order_id bigint, line_id bigint, amount bigint")
 
 
-def test_hot_keys(spark, skewed):
-    assert [r.order_id for r in hot_keys(skewed, "order_id", min_rows=500).collect()] == [7]
-    assert hot_keys(skewed, "order_id").count() == 0
+def by_range(spark, rows, group, order, parts):
+    """The rows as running_sums stages them, in a given number of ranges."""
+    cut = rows.repartitionByRange(parts, group, *order).withColumn("__part", F.spark_partition_id())
+    return staged(cut, "test-ranges")
 
 
-@pytest.mark.parametrize("min_rows, width", [(500, 64), (5, 7), (1, 1), (10_000, 64)])
-def test_running_sums_equal_a_plain_window(spark, skewed, rows, min_rows, width):
+@pytest.mark.parametrize("parts", [1, 3, 40])
+@pytest.mark.parametrize("apart", [1, 100_000])
+def test_running_sums_equal_a_plain_window(spark, skewed, rows, parts, apart):
+    """However the ranges fall, and however sparse the ids are."""
+    lines = skewed.withColumn("line_id", F.col("line_id") * apart)
     whole = Window.partitionBy("order_id").orderBy("line_id").rowsBetween(Window.unboundedPreceding, 0)
-    plain = skewed.withColumns({"total": F.sum("amount").over(whole), "n": F.count("*").over(whole)})
-    hot = hot_keys(skewed, "order_id", min_rows)
-    found = running_sums(
-        skewed.withColumn("one", F.lit(1)), "order_id", ["line_id"], {"total": "amount", "n": "one"},
-        id_block("line_id", width), hot,
-    )
+    plain = lines.withColumns({"total": F.sum("amount").over(whole), "n": F.count("*").over(whole)})
+    stage = lambda ranged: by_range(spark, ranged.drop("__part"), "order_id", ["line_id"], parts)
+    found = running_sums(lines.withColumn("one", F.lit(1)), "order_id", ["line_id"], {"total": "amount", "n": "one"}, stage)
     assert rows(found.drop("one")) == rows(plain)
 
 
-def test_hot_branch_shuffles_by_block_also_after_a_join_on_the_order(spark, skewed):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        other = skewed.select("order_id").distinct()
-        joined = skewed.join(other, "order_id")
-        found = running_sums(joined, "order_id", ["line_id"], {"t": "amount"}, id_block("line_id"), hot_keys(skewed, "order_id"))
-        assert "hashpartitioning(order_id" in plan(found)
-        assert any("__block" in step for step in plan(found).split("\n") if "REPARTITION_BY_COL" in step)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_a_huge_order_of_sparse_ids_lies_in_many_ranges(spark):
+    lines = spark.range(20_000).select(F.lit(7).alias("order_id"), (F.col("id") * 99_991).alias("line_id"), F.lit(1).alias("amount"))
+    ranged = by_range(spark, lines, "order_id", ["line_id"], 16)
+    assert max(r["count"] for r in ranged.groupBy("__part").count().collect()) < 4_000
+
+
+def test_running_sums_keep_rows_without_a_group(spark, rows):
+    lines = spark.createDataFrame([(None, 1, 5), (None, 2, 6), (1, 1, 2)], "order_id bigint, line_id bigint, amount bigint")
+    found = running_sums(lines, "order_id", ["line_id"], {"total": "amount"})
+    assert rows(found) == [(1, 1, 2, 2), (None, 1, 5, 5), (None, 2, 6, 11)]
 
 
 def brute_force(lines):
@@ -71,19 +73,20 @@ def brute_force(lines):
     return result
 
 
-@pytest.mark.parametrize("min_rows, width", [(500, 64), (2, 3), (10_000, 64)])
-def test_allocation_equals_brute_force(spark, min_rows, width):
+@pytest.mark.parametrize("scale", [1, 10**9])
+def test_allocation_equals_brute_force(spark, scale):
+    """Also for amounts of ten thousand million and more."""
     generator = random.Random(11)
     lines = []
     for order, count in [(7, 600)] + [(k, generator.randrange(1, 6)) for k in range(100, 400)]:
-        amounts = [generator.choice([0, generator.randrange(1, 5000)]) for _ in range(count)]
-        total = max(1, sum(amounts) - generator.choice([0, 0, 0, amounts[-1], 17, -30]))
+        amounts = [generator.choice([0, generator.randrange(1, 5000) * scale]) for _ in range(count)]
+        total = max(1, sum(amounts) - generator.choice([0, 0, 0, amounts[-1], 17 * scale, -30 * scale]))
         payment = generator.randrange(0, 2 * total)
         lines += [(order, i, a, payment, total) for i, a in enumerate(amounts)]
     frame = spark.createDataFrame(
         lines, "order_id bigint, line_id bigint, line_cents bigint, payment_cents bigint, total_cents bigint"
     )
-    found = allocate_payment(frame, hot=hot_keys(frame, "order_id", min_rows), block_rows=width)
+    found = allocate_payment(frame)
     assert {(r.order_id, r.line_id): r.allocated_cents for r in found.collect()} == brute_force(lines)
 
 

@@ -5,9 +5,10 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from tillstream import schemas
 from tillstream.functions import money, people, text, times
-from tillstream.functions.documents import dynamic, field, parse_records, record_json
+from tillstream.functions.documents import dynamic, field, malformed_messages, parse_records, record_json
 from tillstream.functions.keys import as_id, joined
 from tillstream.operators import lookups
 from tillstream.operators.allocation import allocate_payment, allocation_state
@@ -99,7 +100,19 @@ def test_single_envelope(spark, rows):
 
 def test_records_ignore_unknown_fields(spark):
     found = parse_records(messages(spark, {"id": "7", "spu_name": "x", "more": 1}, {"id": "8"}, "broken"), schemas.SPU)
-    assert {tuple(r) for r in found.collect()} == {("7", "x"), ("8", None), (None, None)}
+    assert {tuple(r) for r in found.collect()} == {("7", "x"), ("8", None)}
+    assert [r.value for r in malformed_messages(messages(spark, {"id": "7"}, "broken", "5"), schemas.SPU).collect()] == ["broken", "5"]
+
+
+def test_numbers_as_text_are_numbers(spark):
+    shape = StructType.fromDDL("id BIGINT, amount DOUBLE, name STRING, inner STRUCT<n: INT, all: ARRAY<BIGINT>>")
+    found = parse_records(
+        messages(spark, {"id": "1", "amount": "100.5", "name": 7, "inner": {"n": "2", "all": ["3", 4, "x"]}}, {"id": "none"}), shape
+    )
+    assert [r.asDict(True) for r in found.collect()] == [
+        {"id": 1, "amount": 100.5, "name": "7", "inner": {"n": 2, "all": [3, 4, None]}},
+        {"id": None, "amount": None, "name": None, "inner": None},
+    ]
 
 
 def test_dynamic_fields(spark):

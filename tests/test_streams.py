@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from tillstream.sources.tables import table_stream
 from tillstream.sources.topics import FileTopics
 from tillstream.streaming import launch
 from tillstream.streaming.jobs import Warehouse
-from tillstream.streaming.runs import each_batch
+from tillstream.streaming.runs import each_batch, first_number
 from tillstream.streaming.state import dedup_within, join_within
 
 SMALL = "/root/testdata/sf0.001"
@@ -202,7 +203,7 @@ def test_end_to_end(spark, rows, warehouse):
 def test_array_envelopes_by_stream(spark, rows, warehouse):
     send(warehouse, "changes", 0, {"type": "INSERT", "table": "order_info", "data": [{"id": "1"}, {"id": "2"}]}, {"type": "DELETE", "table": "x", "data": [{}]})
     warehouse.route("changes", envelope="array").awaitTermination()
-    routed = spark.read.parquet(f"{warehouse.topics.root}/producer=route_array")
+    routed = spark.read.parquet(f"{warehouse.topics.root}/producer=route_array_changes")
     assert rows(routed.select("topic", "value")) == [("ods_order_info", '{"id":"1"}'), ("ods_order_info", '{"id":"2"}')]
 
 
@@ -214,4 +215,42 @@ def test_jobs_start_from_the_command_line(spark, rows, warehouse):
     send(warehouse, "changes", 0, {"type": "delete", "table": "spu_info", "data": {"id": "2"}})
     launch.start(spark, launch.arguments([*place, "route-single", "changes", "--drop-deletes"])).awaitTermination()
     assert launch.arguments([*place, "wide-orders"]).job == "wide-orders"
-    assert not path_exists(spark, f"{warehouse.topics.root}/producer=route_single")
+    assert not path_exists(spark, f"{warehouse.topics.root}/producer=route_single_changes")
+
+
+def test_a_day_keeps_its_earliest_event_of_a_batch(spark, rows, warehouse):
+    """In offset order or not; a later batch changes nothing."""
+    event = lambda ts, ch: {"common": {"mid": "m", "uid": "u", "ar": "1", "ch": ch, "vc": "v"}, "ts": ts}
+    send(warehouse, "start", 0, event(7_200_000, "late"), event(3_600_000, "early"), event(10_800_000, "latest"))
+    warehouse.daily_active("start").awaitTermination()
+    send(warehouse, "start", 1, event(1_000, "next batch"), "no json")
+    warehouse.daily_active("start").awaitTermination()
+    kept = warehouse.device_index.read(spark)
+    assert rows(kept.select("mid", "ch", "hr", "ts")) == [("m", "early", "01", 3_600_000)]
+
+
+def test_a_run_with_a_new_checkpoint_adds_to_the_results(spark, rows, warehouse):
+    line = lambda amount: {"tm_id": 3, "tm_name": "A", "final_detail_amount": amount}
+    totals = lambda: sum(r.amount for r in committed_results(spark, f"{warehouse.root}/brand_totals").collect())
+    send(warehouse, "dws_order_wide", 0, line(10.0))
+    warehouse.brands().awaitTermination()
+    warehouse.brands().awaitTermination()
+    assert totals() == 10.0
+    anew = replace(warehouse, checkpoints="_anew", topics=FileTopics(f"{warehouse.root}/topics2"))
+    send(anew, "dws_order_wide", 0, line(25.0))
+    anew.brands().awaitTermination()
+    assert totals() == 35.0
+
+
+def test_numbers_of_a_checkpoint_stay(spark):
+    place = workspace(spark, "numbers")
+    assert first_number(spark, place) == first_number(spark, place)
+    assert first_number(spark, place) <= first_number(spark, workspace(spark, "numbers"))
+
+
+def test_an_order_delivered_twice_is_one_first_order(spark, rows, warehouse):
+    order = {"id": "1", "user_id": "7", "final_total_amount": "100.5", "create_time": "2024-01-01 10:00:00"}
+    send(warehouse, "ods_order_info", 0, order, order, {**order, "id": 2, "create_time": "2024-01-01 11:00:00"})
+    warehouse.orders().awaitTermination()
+    found = warehouse.order_index.read(spark).select("id", "user_id", "final_total_amount", "if_first_order")
+    assert rows(found) == [(1, 7, 100.5, "1"), (2, 7, 100.5, "0")]

@@ -28,6 +28,11 @@ def integer_div(left: Column, right: Column) -> Column:
 
 
 def share_cents(payment: Column, amount: Column, total: Column) -> Column:
-    """payment * amount / total in cents, half up. Null for a positive amount of a zero total."""
-    share = integer_div(F.lit(2) * payment * amount + total, F.lit(2) * F.nullif(total, F.lit(0)))
+    """payment * amount / total in cents, half up. Null for a positive amount of a zero total.
+
+    The product is a number of 38 digits: it holds any two amounts below 10^18 cents.
+    """
+    wide = lambda value: value.cast("decimal(19,0)")
+    doubled = (wide(payment) * wide(amount)).cast("decimal(37,0)") * F.lit(2).cast("decimal(1,0)") + wide(total)
+    share = integer_div(doubled, F.lit(2).cast("decimal(1,0)") * wide(F.nullif(total, F.lit(0))))
     return F.coalesce(share, F.when((total == 0) & (amount == 0), F.lit(0)).cast("bigint"))

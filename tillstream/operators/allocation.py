@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from tillstream.functions.money import share_cents
-from tillstream.operators.keyed import hot_keys
-from tillstream.operators.running import id_block, running_sums
+from tillstream.operators.running import running_sums
 
 STATE_COLUMNS = ["order_id", "origin_sum", "split_sum", "line_count"]
 
@@ -14,22 +15,19 @@ STATE_COLUMNS = ["order_id", "origin_sum", "split_sum", "line_count"]
 def allocate_payment(
     lines: DataFrame,
     prior: DataFrame | None = None,
-    hot: DataFrame | None = None,
-    block_rows: int = 65_536,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add `allocated_cents` to lines (order_id, line_id, line_cents, payment_cents, total_cents, ...).
 
     Lines are unique by (order_id, line_id) and taken in line_id order; amounts are not negative.
     A line at which the running sum reaches the order's total takes what is left of the payment,
     every other line its rounded share. `prior` holds the sums of earlier batches (STATE_COLUMNS)
-    and counts as a line before all others. `hot` lists orders with very many lines.
+    and counts as a line before all others. `stage` writes the rows that running sums are taken of.
     """
     share = share_cents(F.col("payment_cents"), F.col("line_cents"), F.col("total_cents"))
     rows = lines.withColumns(
         {"__share": share, "__count": F.lit(1).cast("bigint"), "__turn": F.lit(1), "__amount": F.col("line_cents")}
     )
-    if hot is None:
-        hot = hot_keys(lines, "order_id")
     if prior is not None:
         earlier = prior.join(lines.select("order_id").distinct(), "order_id", "left_semi").select(
             "order_id",
@@ -45,8 +43,7 @@ def allocate_payment(
         group="order_id",
         order=["__turn", "line_id"],
         sums={"__amount_to": "__amount", "__share_to": "__share", "__count_to": "__count"},
-        block=F.coalesce(id_block("line_id", block_rows), F.lit(-1)),
-        hot=hot,
+        stage=stage,
     )
     # shares of a zero total are null and add nothing, as does the row's own share here
     share_before = F.coalesce(F.col("__share_to"), F.lit(0)) - F.coalesce(F.col("__share"), F.lit(0))

@@ -1,4 +1,4 @@
-"""One row per key: first, latest, and the heaviest keys of a table.
+"""One row per key: first and latest.
 
 The row-number filters become a per-partition limit before the shuffle, so a key with very many
 copies sends one row per input partition, not all of them.
@@ -8,9 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ROWS_OF_A_HOT_KEY = 1_000_000
-MOST_HOT_KEYS = 4096
-
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """The first row of every key; `order` must be total for a repeatable result.
@@ -25,19 +22,3 @@ def first_per_key(rows: DataFrame, keys: list[str], order: list[str | Column]) -
 def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of every key."""
     return first_per_key(rows, keys, [F.col(name).desc_nulls_last() for name in order])
-
-
-def hot_keys(rows: DataFrame, key: str, min_rows: int = ROWS_OF_A_HOT_KEY) -> DataFrame:
-    """The heaviest keys with at least `min_rows` rows, at most MOST_HOT_KEYS of them, so safe to broadcast.
-
-    A key left out holds less than 1/MOST_HOT_KEYS of the rows; operators treat it like any other key.
-    """
-    return (
-        rows.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("__n"))
-        .filter(F.col("__n") >= min_rows)
-        .orderBy(F.col("__n").desc(), key)
-        .limit(MOST_HOT_KEYS)
-        .select(key)
-    )

@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillstream.functions.keys import as_id
 
-MOST_BROADCAST_KEYS = 1_000_000
-
 
 def lookup(rows: DataFrame, dim: DataFrame, key: str, dim_key: str, attributes: dict[str, str]) -> DataFrame:
     """Left lookup adding `attributes` (dimension column -> new name); both keys are compared as integers."""
@@ -40,13 +38,10 @@ def with_sku(details: DataFrame, skus: DataFrame) -> DataFrame:
     return found.withColumns({name: as_id(F.col(name)) for name in ("spu_id", "tm_id", "category3_id")})
 
 
-def rows_in_use(dim: DataFrame, dim_key: str, rows: DataFrame, key: str, count_first: bool = False) -> DataFrame:
+def rows_in_use(dim: DataFrame, dim_key: str, rows: DataFrame, key: str) -> DataFrame:
     """The dimension rows the given rows refer to, for a dimension much larger than a batch.
 
-    `count_first` counts the distinct keys and broadcasts up to MOST_BROADCAST_KEYS of them, so that
-    the dimension is scanned without a shuffle; with more keys both sides are shuffled.
+    Spark measures the distinct keys as the query runs and broadcasts them when they are few.
     """
     wanted = rows.select(F.col(key).cast("bigint").alias("__key")).distinct()
-    if count_first and wanted.limit(MOST_BROADCAST_KEYS + 1).count() <= MOST_BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
     return dim.join(wanted, as_id(dim[dim_key]) == wanted["__key"], "left_semi")

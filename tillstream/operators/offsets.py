@@ -25,20 +25,27 @@ def ledger_rows(ranges: DataFrame, group_id: str) -> DataFrame:
 
 
 def saved_offsets(ledger: DataFrame, topic: str, group_id: str) -> DataFrame:
-    """Latest saved offset of every partition of a topic, for one group."""
+    """Last written offset of every partition of a topic, for one group; by batch where the ledger names batches."""
+    last = F.max_by("topic_offset", "batch_id") if "batch_id" in ledger.columns else F.max("topic_offset")
     return (
         ledger.filter((F.col("topic") == topic) & (F.col("group_id") == group_id))
         .groupBy("topic", "partition_id")
-        .agg(F.max("topic_offset").alias("topic_offset"))
+        .agg(last.alias("topic_offset"))
     )
 
 
-def start_position(ledger: DataFrame, topic: str, group_id: str) -> str:
+EARLIEST = -2  # a source's mark for the first offset it has
+
+
+def start_position(ledger: DataFrame, topic: str, group_id: str, partitions: int = 0) -> str:
     """Start option of a topic source: saved offsets as JSON, or `latest` when there are none.
 
-    One row per partition of the topic comes to the driver, as the source option is a text.
+    The source wants all partitions named: those of the first `partitions` that the ledger lacks start at their
+    earliest offset. One row per partition of the topic comes to the driver, as the source option is a text.
     """
     rows = saved_offsets(ledger, topic, group_id).collect()
     if not rows:
         return "latest"
-    return json.dumps({topic: {str(r.partition_id): r.topic_offset for r in sorted(rows)}})
+    saved = {r.partition_id: r.topic_offset for r in rows}
+    named = sorted({*range(partitions), *saved})
+    return json.dumps({topic: {str(number): saved.get(number, EARLIEST) for number in named}})

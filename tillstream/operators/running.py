@@ -1,17 +1,14 @@
-"""Running sums within a group whose heaviest groups are summed block by block."""
+"""Running sums within a group of any size."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Callable
 
-from tillstream.functions.money import integer_div
+from pyspark.sql import DataFrame, Window, functions as F
 
-BLOCK_ROWS = 65_536
+from tillstream.sinks.batches import staged
 
-
-def id_block(order_id: str, width: int = BLOCK_ROWS) -> Column:
-    """Block of a unique, non-negative id: at most `width` rows share one."""
-    return integer_div(F.col(order_id).cast("bigint"), F.lit(width).cast("bigint"))
+PART = "__part"
 
 
 def running_sums(
@@ -19,30 +16,27 @@ def running_sums(
     group: str,
     order: list[str],
     sums: dict[str, str],
-    block: Column,
-    hot: DataFrame,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add `name`: the sum of the column `sums[name]` over the rows of the group up to and with this one.
 
-    The groups in `hot` (few, broadcast) are spread by (group, block): each block is summed on its own,
-    the block totals are summed in order, and the total before a block is added to its rows. `block`
-    must not decrease along `order`. All other groups are summed whole, on the partitioning by group
-    that a join before may have left.
+    All groups take one way. The rows are cut into ranges of (group, order), each about as large as the
+    others, so a group with very many rows lies in many ranges, wherever its order values fall. Rows are summed
+    inside their range, ranges are totalled per group (at most one row per range and group), and the total
+    before a range is added to its rows. The ranges are written once by `stage`, as two plans that
+    cut them anew could disagree.
     """
-    few = F.broadcast(hot.select(group))
-    key = "__block"
-
-    whole = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    usual = rows.join(few, group, "left_anti").withColumns({n: F.sum(c).over(whole) for n, c in sums.items()})
-
-    placed = rows.join(few, group, "left_semi").withColumn(key, block.cast("bigint"))
-    totals = placed.groupBy(group, key).agg(*[F.sum(c).alias(f"__total_{n}") for n, c in sums.items()])
-    before = Window.partitionBy(group).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(group, key, *[F.sum(f"__total_{n}").over(before).alias(f"__before_{n}") for n in sums])
-    inside = Window.partitionBy(group, key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    # without the explicit repartition, rows already partitioned by group would stay together
-    spread = placed.repartition(group, key).withColumns({n: F.sum(c).over(inside) for n, c in sums.items()})
-    split = spread.join(offsets, [group, key]).withColumns(
+    stage = stage or (lambda ranged: staged(ranged, "running-sums"))
+    ranged = stage(rows.repartitionByRange(group, *order).withColumn(PART, F.spark_partition_id()))
+    inside = Window.partitionBy(group, PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = ranged.withColumns({n: F.sum(c).over(inside) for n, c in sums.items()})
+    totals = ranged.groupBy(group, PART).agg(*[F.sum(c).alias(f"__total_{n}") for n, c in sums.items()])
+    before = Window.partitionBy(group).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        F.col(group).alias("__group"), F.col(PART).alias("__of"), *[F.sum(f"__total_{n}").over(before).alias(f"__before_{n}") for n in sums]
+    )
+    same = F.col(group).eqNullSafe(F.col("__group")) & (F.col(PART) == F.col("__of"))
+    found = summed.join(offsets, same).withColumns(
         {n: F.coalesce(F.col(n) + F.col(f"__before_{n}"), F.col(n), F.col(f"__before_{n}")) for n in sums}
     )
-    return usual.unionByName(split.select(*usual.columns))
+    return found.select(*rows.columns, *sums)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillstream import schemas
+from tillstream.functions.documents import parse_records, record_json
 from tillstream.operators.changes import route_array_envelope, route_single_envelope
-from tillstream.plans.inputs import load
+from tillstream.plans.inputs import load, order_records
 from tillstream.plans.registry import Registry
 
 registry = Registry()
@@ -87,3 +89,21 @@ def cdc_single_route(spark, folder):
 @registry.query(SINGLE_SQL.replace("c_custkey % 5 <> 0", "c_custkey % 5 <> 0 AND c_custkey % 3 <> 0"))
 def cdc_single_route_without_deletes(spark, folder):
     return route_single_envelope(single_envelopes(spark, folder), drop_deletes=True)
+
+
+@registry.query(
+    """
+    SELECT o_orderkey AS id, o_orderstatus AS order_status, o_custkey AS user_id, o_totalprice AS final_total_amount,
+           strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS create_time
+    FROM orders
+    """
+)
+def array_orders_parsed(spark, folder):
+    """Orders in array envelopes, all values as text, routed and read as order records; broken messages give none."""
+    orders = order_records(load(spark, folder, "orders"))
+    as_text = F.struct(*[F.col(name).cast("string").alias(name) for name in orders.columns])
+    envelope = F.struct(F.lit("INSERT").alias("type"), F.lit("order_info").alias("table"), F.array(as_text).alias("data"))
+    routed = route_array_envelope(orders.select(F.to_json(envelope).alias("value"))).select("value")
+    broken = orders.where("id % 100 = 0").select(F.substring(record_json("id"), 1, 4).alias("value"))
+    records = parse_records(routed.unionByName(broken), schemas.ORDER_INFO)
+    return records.select("id", "order_status", "user_id", "final_total_amount", "create_time")

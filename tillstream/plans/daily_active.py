@@ -16,7 +16,7 @@ from tillstream.plans.registry import Registry
 
 registry = Registry()
 
-_FIRST = """
+FIRST_SQL = """
     SELECT * FROM (
         SELECT CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid, event_type AS ch,
                json_extract_string(props, '$.k') AS vc, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hr,
@@ -32,7 +32,7 @@ def first_events(spark, folder):
     return first_per_key(dated, ["dt", "mid"], ["ts", "event_id"])
 
 
-@registry.query(f"SELECT mid, uid, ch, vc, dt, hr, mi, ts FROM ({_FIRST})")
+@registry.query(f"SELECT mid, uid, ch, vc, dt, hr, mi, ts FROM ({FIRST_SQL})")
 def dau_first_events(spark, folder):
     return first_events(spark, folder).select("mid", "uid", "ch", "vc", "dt", "hr", "mi", "ts")
 
@@ -45,7 +45,7 @@ def dau_daily_count(spark, folder):
     return events.groupBy(day_of_millis(F.col("ts")).alias("dt")).agg(F.count_distinct("mid").alias("devices"))
 
 
-@registry.query(f"SELECT dt, hr, CAST(count(*) AS BIGINT) AS devices FROM ({_FIRST}) GROUP BY dt, hr")
+@registry.query(f"SELECT dt, hr, CAST(count(*) AS BIGINT) AS devices FROM ({FIRST_SQL}) GROUP BY dt, hr")
 def dau_hourly_count(spark, folder):
     return active_devices(first_events(spark, folder), "dt", "hr")
 

@@ -65,7 +65,7 @@ def first_lines(lineitem: DataFrame, *columns: str) -> DataFrame:
     return first_per_key(lineitem.select(*wanted), ["l_orderkey", "l_linenumber"], order)
 
 
-def detail_records(lines: DataFrame, line_id=None) -> DataFrame:
+def detail_records(lines: DataFrame, line_id=None, *others: str) -> DataFrame:
     """Lines as order_detail: one unit at the extended price."""
     return lines.select(
         (line_id if line_id is not None else F.col("l_linenumber").cast("bigint")).alias("id"),
@@ -73,13 +73,19 @@ def detail_records(lines: DataFrame, line_id=None) -> DataFrame:
         F.col("l_partkey").alias("sku_id"),
         F.col("l_extendedprice").alias("order_price"),
         F.lit(1).cast("bigint").alias("sku_num"),
+        *others,
     )
 
 
 def unique_line_id():
-    """An id unique among all lines of an order."""
-    item = (F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")) * 10 + F.col("l_linenumber")
-    return item * 100 + F.col("l_quantity").cast("bigint")
+    """An id for a line of an order: 60 bits of a hash of all that tells lines apart, whatever the size of their keys."""
+    parts = F.concat_ws("-", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("bigint"))
+    return F.conv(F.substring(F.md5(parts), 1, 15), 16, 10).cast("bigint")
+
+
+UNIQUE_LINE_ID_SQL = (
+    "CAST('0x' || substr(md5(concat_ws('-', l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS BIGINT))), 1, 15) AS BIGINT)"
+)
 
 
 def provinces(nations: DataFrame) -> DataFrame:

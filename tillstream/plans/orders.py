@@ -8,8 +8,7 @@ from tillstream.functions.money import cents, line_amount
 from tillstream.functions.times import date_part, hour_part
 from tillstream.operators import lookups
 from tillstream.operators.first_orders import status_updates, with_first_flag
-from tillstream.operators.keyed import hot_keys
-from tillstream.operators.running import id_block, running_sums
+from tillstream.operators.running import running_sums
 from tillstream.plans import inputs
 from tillstream.plans.dimensions import SKU_SQL, USER_SQL
 from tillstream.plans.inputs import load
@@ -136,5 +135,4 @@ def order_running_sums(spark, folder):
         F.col("l_linenumber").cast("bigint").alias("line_id"),
         line_amount(cents(F.col("l_extendedprice")), F.col("l_quantity").cast("bigint")).alias("line_cents"),
     )
-    hot = hot_keys(lineitem.select(F.col("l_orderkey").alias("order_id")), "order_id")
-    return running_sums(lines, "order_id", ["line_id"], {"running_cents": "line_cents"}, id_block("line_id"), hot)
+    return running_sums(lines, "order_id", ["line_id"], {"running_cents": "line_cents"})

@@ -27,13 +27,9 @@ SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on; sizes and parallelism stay with the cluster."""
-    context = spark.sparkContext
-    local = context.master.startswith("local")
+    local = spark.sparkContext.master.startswith("local")
     for key, value in (RUNTIME_SETTINGS if local else RUNTIME_SETTINGS | STATE_SETTINGS).items():
         spark.conf.set(key, value)
-    if local and spark.conf.get(SHUFFLE_PARTITIONS) == "200":
-        # on one machine Spark's default only makes many small state stores
-        spark.conf.set(SHUFFLE_PARTITIONS, str(context.defaultParallelism))
     return spark
 
 

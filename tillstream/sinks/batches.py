@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.operators.offsets import ledger_rows
+from tillstream.session import workspace
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -37,6 +38,13 @@ def forget_numbers(spark: SparkSession, root: str, mark: str, upto: int) -> None
             files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{mark}={n}"), True)
 
 
+def staged(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written once to the shared folder and read from there."""
+    folder = workspace(rows.sparkSession, purpose)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def write_batch(rows: DataFrame, root: str, batch_id: int, partition_by: list[str] | None = None) -> bool:
     """Write a batch as `root/batch_id=N`. False, and nothing done, when it is complete already."""
     path = f"{root}/batch_id={batch_id}"

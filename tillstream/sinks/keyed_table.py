@@ -74,6 +74,10 @@ class KeyedTable:
             rows = base if bases else changes
         return rows.select(*self.schema.fieldNames())
 
+    def changes_since_base(self, spark: SparkSession) -> int:
+        """How many batches were written after the newest base."""
+        return len(self._versions(spark, None)[1])
+
     def compact(self, spark: SparkSession, upto: int, keep=None) -> None:
         """Write the table as of the end of batch `upto` as a base; `keep` drops rows past their time.
 

@@ -30,6 +30,8 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     where.add_argument("--brokers", help="Kafka brokers")
     where.add_argument("--topic-folder", help="folder of file topics, for replays")
     parser.add_argument("--root", required=True, help="shared folder of tables and checkpoints")
+    parser.add_argument("--max-offsets", type=int, help="most messages of one batch")
+    parser.add_argument("--min-partitions", type=int, help="least tasks that read a topic")
     parser.add_argument("--drain", action="store_true", help="work through what is there and end")
     jobs = parser.add_subparsers(dest="job", required=True)
     for envelope in ("array", "single"):
@@ -42,16 +44,18 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
         jobs.add_parser(name)
     brands = jobs.add_parser("brands", help="paid amount per brand and batch")
     brands.add_argument("--resume", action="store_true", help="a first run starts at the offsets written with the results")
+    brands.add_argument("--partitions", type=int, default=0, help="partitions of the topic, for those without a saved offset")
     return parser.parse_args(words)
 
 
 def start(spark: SparkSession, options: argparse.Namespace):
     """Start the job and return its query."""
-    topics = KafkaTopics(options.brokers) if options.brokers else FileTopics(options.topic_folder)
+    kafka = lambda: KafkaTopics(options.brokers, options.max_offsets, options.min_partitions)
+    topics = kafka() if options.brokers else FileTopics(options.topic_folder)
     starts = {}
     if options.job == "brands" and options.resume:
         ledger = offset_ledger(spark, f"{options.root}/brand_totals")
-        starts["dws_order_wide"] = start_position(ledger, "dws_order_wide", "brand_totals")
+        starts["dws_order_wide"] = start_position(ledger, "dws_order_wide", "brand_totals", options.partitions)
     warehouse = Warehouse(tune(spark), topics, options.root, options.drain, starts=starts)
     if options.job.startswith("route-"):
         return warehouse.route(options.topic, options.job.removeprefix("route-"), options.drop_deletes)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from tillstream.sinks.batches import path_exists
+
 BATCH_INTERVAL = "5 seconds"
 ADAPTIVE = "spark.sql.adaptive.enabled"
 
@@ -21,6 +24,19 @@ def start(writer: DataStreamWriter, checkpoint: str, drain: bool = False) -> Str
     return writer.start()
 
 
+def first_number(spark: SparkSession, checkpoint: str) -> int:
+    """The number of a checkpoint's first batch, fixed when it is first asked for.
+
+    Spark counts the batches of every checkpoint from 0. Sinks keep batches by number, so a run with a new checkpoint
+    must not meet the numbers of the run before: its numbers start at the time, in milliseconds, of its first batch.
+    """
+    place = f"{checkpoint}/first_number"
+    if not path_exists(spark, f"{place}/_SUCCESS"):
+        now = spark.createDataFrame([(int(time.time() * 1000),)], "number bigint")
+        now.coalesce(1).write.mode("overwrite").parquet(place)
+    return spark.read.schema("number bigint").parquet(place).first()["number"]
+
+
 def each_batch(
     stream: DataFrame,
     work: Callable[[DataFrame, int], None],
@@ -29,20 +45,21 @@ def each_batch(
     hold: bool = False,
     mode: str = "append",
 ) -> StreamingQuery:
-    """Run `work` on every batch that has rows.
+    """Run `work` on every batch that has rows, with a number that grows from run to run.
 
     `hold` keeps the batch for the time of `work`, so that stateful operators above it run once although
     the batch is read more than once. The work itself is planned adaptively; a stream's own plan is not.
     """
 
     def guarded(batch: DataFrame, batch_id: int) -> None:
+        number = lambda: first_number(batch.sparkSession, checkpoint) + batch_id
         with adaptive(batch.sparkSession):
             if hold:
                 with kept(batch) as rows:
                     if not rows.isEmpty():
-                        work(rows, batch_id)
+                        work(rows, number())
             elif not batch.isEmpty():
-                work(batch, batch_id)
+                work(batch, number())
 
     return start(stream.writeStream.outputMode(mode).foreachBatch(guarded), checkpoint, drain)
 
