@@ -1,0 +1,409 @@
+"""Operators on documents: hard cases by hand, and results against brute force."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+from tillstream.llm import decontamination, exact_dedup, language, line_dedup, near_dedup, packing, quality
+from tillstream.llm.components import components
+from tillstream.llm.queries import tokenizer_path
+
+SHAPE = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+LONG = " ".join(f"w{i % 977}x{i % 13}" for i in range(60_000))
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def documents(spark, *texts, **more):
+    rows = [(i, t, more.get("lang"), "s", len(t or "")) for i, t in texts]
+    return spark.createDataFrame(rows, SHAPE)
+
+
+# columns that the operators use as names of their own, and null ids
+HARD = [(1, None), (2, ""), (3, " \n\t "), (4, "Eins zwei"), (5, "eins ZWEI"), (5, "eins ZWEI"), (None, "eins zwei"), (None, None), (6, LONG), (7, LONG + " end"), (8, "ÄB é ß 日本 \x00 x")]
+CLASHES = ["digest", "locator", "text_key", "found", "hits", "part", "ids", "keep", "kept", "body", "doc", "words", "key", "id", "n", "nr", "start"]
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    frame = documents(spark, *HARD)
+    return frame.select("*", *[F.lit("other").alias(name) for name in CLASHES])
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SHAPE)
+
+
+def lower(text):
+    return (text or "").translate(str.maketrans(UPPER, LOWER))
+
+
+# exact deduplication ----------------------------------------------------------------------------
+
+
+def exact_by_hand(texts):
+    groups = {}
+    for i, t in texts:
+        groups.setdefault(lower(t), []).append(i)
+    return groups
+
+
+@pytest.mark.parametrize("digest", [exact_dedup.sha256, lambda text: F.substring(F.md5(text), 1, 1)])
+def test_exact_groups(spark, hard, digest):
+    """Also with a digest so weak that only whole texts tell rows apart."""
+    found = exact_dedup.exact_groups(hard, digest, batches=2).collect()
+    groups = exact_by_hand(HARD)
+    assert len(found) == len(HARD)
+    by_text = {}
+    for row in found:
+        by_text.setdefault(row.text_sha256, []).append(row)
+    assert set(by_text) == {hashlib.sha256(t.encode()).hexdigest() for t in groups}
+    for text, ids in groups.items():
+        rows = by_text[hashlib.sha256(text.encode()).hexdigest()]
+        keep = max((i for i in ids if i is not None), default=None)
+        assert {r.keep_id for r in rows} == {keep} and {r.group_size for r in rows} == {len(ids)}
+        assert sorted(str(r.doc_id) for r in rows) == sorted(map(str, ids))
+        assert sum(r.kept for r in rows) == 1 and all(r.doc_id == keep for r in rows if r.kept)
+
+
+def test_exact_state_grows_over_batches(spark, tmp_path):
+    """A stream that starts again goes on from its state, and a repeated drain changes nothing."""
+    place = str(tmp_path)
+    for number, rows in enumerate([[("a", 1, "x"), ("b", 5, "y")], [("a", 3, "z")], []]):
+        if rows:
+            spark.createDataFrame(rows, "digest string, doc_id bigint, locator string").coalesce(1).write.mode("append").parquet(f"{place}/in")
+        stream = spark.readStream.schema("digest string, doc_id bigint, locator string").parquet(f"{place}/in")
+        exact_dedup.keep_state(stream, f"{place}/state", f"{place}/changes").awaitTermination()
+    found = exact_dedup.current_state(spark, f"{place}/changes").collect()
+    assert {(r.digest, r.keep.doc_id, r.keep.locator, r.group_size) for r in found} == {("a", 3, "z", 2), ("b", 5, "y", 1)}
+
+
+def test_exact_whole_rows(spark, hard, empty, tmp_path):
+    kept = exact_dedup.without_copies(hard)
+    assert kept.columns == hard.columns
+    assert kept.count() == len(exact_by_hand(HARD))
+    hard.write.parquet(f"{tmp_path}/docs")  # rows of files are located by file and row
+    stored = spark.read.parquet(f"{tmp_path}/docs")
+    assert exact_dedup.without_copies(stored).count() == kept.count()
+    assert exact_dedup.exact_groups(empty).count() == 0
+
+
+# line deduplication -----------------------------------------------------------------------------
+
+
+def lines_by_hand(texts, least):
+    seen, out = set(), []
+    for i, text in texts:
+        kept, removed, at = [], [], 0
+        for line in (text or "").split("\n"):
+            words = line.encode().lower().split()
+            if len(words) >= least and b" ".join(words) in seen:
+                removed.append((at, len(line)))
+            else:
+                kept.append(line + "\n")
+                if len(words) >= least:
+                    seen.add(b" ".join(words))
+            at += len(line) + 1
+        joined = "".join(kept)
+        last_removed = removed and removed[-1][0] + removed[-1][1] == len(text or "")
+        out.append((i, joined if last_removed else joined[:-1], removed))
+    return out
+
+
+def test_lines_against_brute_force(spark):
+    rng = random.Random(3)
+    pool = [" ".join(rng.choice(["Aa", "bb", "cc", "dé"]) for _ in range(rng.randrange(1, 5))) for _ in range(30)]
+    texts = [(i, "\n".join(rng.choice(pool) + rng.choice(["", " ", "\t"]) for _ in range(rng.randrange(0, 9)))) for i in range(120)]
+    found = line_dedup.without_repeats(documents(spark, *texts), least_words=3).collect()
+    mine = {r.doc_id: (r.text, [tuple(s) for s in r.removed], r.n_removed) for r in found}
+    assert mine == {i: (t, r, len(r)) for i, t, r in lines_by_hand(texts, 3)}
+
+
+def test_lines_of_hard_rows(spark, hard, empty):
+    found = line_dedup.without_repeats(hard).collect()
+    assert len(found) == len(HARD) and all(r.n_removed == 0 for r in found)
+    assert {r.text for r in found if r.doc_id == 6} == {LONG}
+    assert line_dedup.without_repeats(empty).count() == 0
+
+
+def test_repeated_paragraphs(spark):
+    docs = documents(spark, (1, "one two three four five\n\nsix"), (2, "zero\n\nOne two  three four five\n\nend"))
+    found = {r.doc_id: (r.text, [tuple(s) for s in r.removed]) for r in line_dedup.without_repeats(docs, "paragraph").collect()}
+    assert found[1] == ("one two three four five\n\nsix", [])
+    assert found[2][1] == [(6, 24)] and "three" not in found[2][0]
+
+
+# near duplicates --------------------------------------------------------------------------------
+
+
+def sets_by_hand(texts):
+    out = {}
+    for i, t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(t))
+        out[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    return out
+
+
+def components_by_hand(sets):
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        shared = len(sets[a] & sets[b])
+        if sets[a] and 100 * shared >= 75 * (len(sets[a]) + len(sets[b]) - shared):
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
+def varied(rng, base, changes):
+    words = base.split()
+    for _ in range(changes):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_near_groups_against_brute_force(spark):
+    """Groups of near copies around the threshold, a large group, one passage that all share, short texts and copies."""
+    rng = random.Random(9)
+    word = lambda: f"v{rng.randrange(3000)}"
+    passage = " ".join(word() for _ in range(60))
+    texts = []
+    for _ in range(12):
+        base = " ".join(word() for _ in range(rng.choice([30, 100, 300])))
+        texts += [varied(rng, base, rng.randrange(0, 6)) for _ in range(6)]
+    large = " ".join(word() for _ in range(150))
+    texts += [varied(rng, large, rng.randrange(0, 5)) for _ in range(80)]
+    texts += [passage + " " + " ".join(word() for _ in range(60)) for _ in range(60)]
+    texts += ["a b", "A b", "a b c", "", " ", "one two three four five", "One two three four five six"]
+    rng.shuffle(texts)
+    texts = list(enumerate(texts, 10))
+    found = near_dedup.near_groups(documents(spark, *texts)).collect()
+    sets = sets_by_hand(texts)
+    expected = components_by_hand(sets)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == {
+        i: (len(sets[i]), c, c == i) for i, c in expected.items()
+    }
+
+
+def test_near_hard_rows(spark, hard, empty):
+    found = near_dedup.near_groups(hard).collect()
+    assert len(found) == len(HARD)
+    of = lambda i: {(r.component_id, r.kept) for r in found if r.doc_id == i}
+    assert of(1) == {(1, True)} and of(2) == {(2, True)} and of(3) == {(3, True)}
+    assert of(4) == {(4, True)} and of(5) == {(4, False)} and of(7) == {(6, False)}
+    assert of(None) == {(4, False), (None, True)}
+    kept = near_dedup.without_near_copies(hard)
+    assert kept.columns == hard.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, 6, 8, None}
+    assert near_dedup.near_groups(empty).count() == 0
+
+
+def test_estimate_follows_the_similarity(spark):
+    import numpy as np
+
+    factors, rng = near_dedup._multipliers(), np.random.default_rng(1)
+    common = rng.integers(0, 2**63, 1500, dtype=np.uint64)
+    one = np.unique(np.concatenate([common, rng.integers(0, 2**63, 250, dtype=np.uint64)]))
+    other = np.unique(np.concatenate([common, rng.integers(0, 2**63, 250, dtype=np.uint64)]))
+    planes = near_dedup._planes(np.stack([near_dedup.minima(one, factors), near_dedup.minima(other, factors)]))
+    row = spark.createDataFrame([(planes[0].tolist(), planes[1].tolist())], "a array<bigint>, b array<bigint>")
+    assert abs(row.select(near_dedup.estimate(F.col("a"), F.col("b"))).first()[0] - 0.75) < 0.16
+    assert row.select(near_dedup.estimate(F.col("a"), F.col("a"))).first()[0] == 1.0
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 60)] + [(200, 200)]
+    edges += [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(60)]
+    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    sets = {n: set() for e in edges for n in e}
+    label = {n: n for n in sets}
+    for _ in range(200):
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    assert found == {n: l for n, l in label.items() if l != n}
+
+
+# decontamination --------------------------------------------------------------------------------
+
+
+def hits_by_hand(docs, items, span):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        n = min(len(w), span)
+        for k in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[k : k + n]), set()).add("" if item is None else str(item))
+    sizes, out = {len(w) for w in windows}, []
+    for i, text in docs:
+        w, hit, found = words(text), set(), set()
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in windows:
+                    hit.update(range(k, k + n))
+                    found |= windows[tuple(w[k : k + n])]
+        out.append((i, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr)
+
+
+def judged(spark, docs, items, span=10):
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string").withColumn("hash", F.lit(1))
+    found = decontamination.contamination(docs, benchmark, span, min(span, decontamination.GRAM))
+    return sorted([tuple(r) for r in found.drop("items", "hits").collect()], key=repr)
+
+
+@pytest.mark.parametrize("span", [10, 6])
+def test_contamination_against_brute_force(spark, span):
+    """Few words, so that runs repeat; items of all lengths; passages at the start, inside and at the end."""
+    rng = random.Random(span)
+    some = lambda n, k=40: " ".join(rng.choice(["", "."]) + rng.choice(["W", "w"]) + str(rng.randrange(k)) for _ in range(n))
+    items = [(i, some(n)) for i, n in enumerate([0, 1, 3, 5, 6, 9, 10, 11, 14, 25, 40, 40])]
+    items += [(50, "a a a a a a a a a a a a"), (51, None), (None, some(13)), (52, items[9][1] + " and more of it")]
+    docs = []
+    for i in range(60):
+        item = (rng.choice(items)[1] or "").split()
+        cut = " ".join(item[rng.randrange(0, 3) : len(item) - rng.randrange(0, 3)])
+        docs.append((i, " ".join([some(rng.randrange(0, 30), 400), cut, some(rng.randrange(0, 30), 400)])))
+    docs += [(90, "a " * 25), (91, None), (92, ""), (93, items[10][1] + " " + items[10][1]), (93, items[10][1]), (93, items[10][1])]
+    assert judged(spark, documents(spark, *docs), items, span) == hits_by_hand(docs, items, span)
+
+
+def test_contamination_of_hard_rows(spark, hard, empty):
+    items = [(1, " ".join(LONG.split()[500:520])), (2, "eins zwei")]
+    assert judged(spark, hard, items) == hits_by_hand(HARD, items, 10)
+    assert judged(spark, empty, items) == []
+    assert all(not r[-1] for r in judged(spark, hard, []))
+    clean = decontamination.without_contaminated(hard, spark.createDataFrame(items, "item_id bigint, text string"))
+    assert clean.columns == hard.columns and {r.doc_id for r in clean.collect()} == {1, 2, 3, 8, None}
+
+
+# language ---------------------------------------------------------------------------------------
+
+PHRASES = {
+    "en": "the quick brown fox jumps over the lazy dog and then walks home with that other thing",
+    "de": "der schnelle braune Fuchs springt über den faulen Hund und geht dann nach Hause mit dem Ding",
+    "fr": "le renard brun rapide saute par-dessus le chien paresseux et puis il rentre à la maison avec ça",
+}
+
+
+@pytest.fixture(scope="module")
+def speech(spark):
+    rng, rows = random.Random(2), []
+    for i in range(180):
+        lang = list(PHRASES)[i % 3]
+        words = PHRASES[lang].split()
+        rows.append((i, " ".join(rng.choice(words) for _ in range(30)), lang, "s", 0))
+    rows += [(1000, None, "en", "s", 0), (1001, "123 !!", "en", "s", 0), (1002, "", "de", "s", 0), (1003, rows[1][1], None, "s", 0)]
+    return spark.createDataFrame(rows, SHAPE).withColumn("score", F.lit(1)).withColumn("lang_pred", F.lit("x"))
+
+
+def test_language(spark, speech, empty):
+    found = {r.doc_id: r for r in language.identify(speech).collect()}
+    assert len(found) == 184
+    held = [i for i in range(180) if found[i].held_out]
+    assert held == [i for i in range(180) if zlib.crc32(str(i).encode()) % 3 == 1] and len(held) > 30
+    assert all(found[i].lang_pred == list(PHRASES)[i % 3] for i in held)
+    assert {(found[i].lang_pred, found[i].score) for i in (1000, 1001, 1002)} == {("und", 0.0)}
+    assert found[1003].lang_pred == "de" and all(0 <= r.score <= 1 for r in found.values())
+    kept = language.accepted(speech, language.learnt_from(speech))
+    assert kept.columns == speech.columns and {r.doc_id for r in kept.collect()} == {*range(180), 1003}
+    assert language.identify(empty).count() == 0
+
+
+def test_language_learns_nothing_from_held_out_rows(spark, speech):
+    """Labels of held-out rows do not change a prediction."""
+    turned = speech.withColumn("lang", F.when(language.held_out(F.col("doc_id")), F.lit("xx")).otherwise(F.col("lang")))
+    plain = lambda frame: sorted((r.doc_id, r.lang_pred, round(r.score, 6)) for r in language.identify(frame).collect())
+    assert plain(turned) == plain(speech)
+
+
+def test_language_of_hard_rows(spark, hard):
+    found = language.identify(hard).collect()
+    assert len(found) == len(HARD) and {r.lang_pred for r in found} == {"und"}
+    some = language.identify(hard.withColumn("lang", F.lit("only"))).collect()
+    assert {r.lang_pred for r in some if r.doc_id in (4, 6, 8)} == {"only"}
+
+
+# quality ----------------------------------------------------------------------------------------
+
+
+def test_quality(spark, empty):
+    rng, rows, labels = random.Random(6), [], []
+    for i in range(600):
+        good = rng.random() < 0.6
+        words = [rng.choice(PHRASES["en"].split()) + ("" if good else rng.choice(["###", "$$$"])) for _ in range(40)]
+        rows.append((i, " ".join(words), "en", "s", 0))
+        if rng.random() < 0.5:
+            labels.append((i, int(good), 0))
+    rows += [(700, None, None, None, None), (701, "", "en", "s", 0), (702, LONG, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, SHAPE).withColumn("score", F.lit(1))
+    given = spark.createDataFrame([*labels, (0, None, None), (labels[0][0], 1, 0)], "doc_id bigint, quality int, toxic int")
+    found = {r.doc_id: r for r in quality.quality(docs, given).collect()}
+    assert len(found) == 603 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found.values())
+    held = [(found[i].predicted, good) for i, good, _ in labels if found[i].held_out]
+    assert len(held) > 60 and sum(p == g for p, g in held) / len(held) > 0.95
+    assert found[700].score == found[701].score
+    assert quality.quality(empty, given).count() == 0
+    assert {r.score for r in quality.quality(docs, given.limit(0)).collect()} == {0.5}
+
+
+def test_prior_estimate():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    positives = rng.normal(2, 1, 3000)
+    mixed = np.concatenate([rng.normal(2, 1, 1800), rng.normal(-2, 1, 1200)])
+    assert abs(quality.estimated_prior(positives, mixed) - 0.6) < 0.08
+
+
+# packing ----------------------------------------------------------------------------------------
+
+
+def test_packing_round_trip(spark, hard, empty):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path()
+    plain = Tokenizer.from_file(path)
+    extra = [(20 + k, t) for k, t in enumerate(["It's I'LL <|endoftext|> x", "Σας ΣΑΣ ẞ", "a., b.c, d.", "é x", "tab\there\x1cq", "WORD'S A.B. c|d"])]
+    docs = hard.unionByName(documents(spark, *extra), allowMissingColumns=True)
+    pieces = packing.packed(docs.repartition(3), path, window=64).collect()
+    whole = {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.length == len(p.ids) and p.offset + p.length <= 64
+        assert p.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in p.ids))
+        whole.setdefault(p.sequence_id, []).append(p)
+    for number, parts in whole.items():
+        ends = list(itertools.accumulate(p.length for p in parts))
+        assert [p.offset for p in parts] == [0, *ends[:-1]]
+        assert ends[-1] == 64 or number == max(whole)
+    assert sorted(whole) == list(range(len(whole)))
+    order = sorted(pieces, key=lambda p: (p.sequence_id, p.offset))
+    found, current = [], []
+    for p in order:
+        assert p.start == len(current)
+        current += p.ids
+        if len(current) == p.doc_tokens:
+            found.append((p.doc_id, current))
+            current = []
+    expected = [(i, plain.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in HARD + extra]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+    assert packing.packed(empty, path).count() == 0
+    assert "ids" not in packing.packed(hard, path, with_ids=False).columns
+
+
+def test_full_caches_change_nothing(monkeypatch):
+    texts = [" ".join(f"Word{chr(97 + (i * k) % 26)}{chr(97 + i % 7)}, x{i}" for i in range(40)) for k in range(12)]
+    expected = packing.ChunkTokenizer(tokenizer_path()).ids(texts)
+    monkeypatch.setattr(packing, "CACHED_CHUNKS", 10)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 7)
+    small = packing.ChunkTokenizer(tokenizer_path())
+    assert [small.ids([text])[0] for text in texts] == expected
