@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -30,9 +32,12 @@ def _pattern(tokens: list[str]) -> str:
 
 
 def matches(text: Column, query: str) -> Column:
-    """True when the text holds any token of the query."""
+    """True when the text holds any token of the query. A plain search goes first: most texts hold none of the tokens at all."""
     tokens = query_tokens(query)
-    return F.lower(text).rlike(_pattern(tokens)) if tokens else F.lit(False)
+    if not tokens:
+        return F.lit(False)
+    lowered = F.lower(text)
+    return reduce(or_, [lowered.contains(token) for token in tokens]) & lowered.rlike(_pattern(tokens))
 
 
 def highlight(text: Column, query: str, before: str = "<em>", after: str = "</em>") -> Column:

@@ -26,6 +26,12 @@ _MARKED = (
 )
 
 
+def _nested(documents):
+    """Documents with their words as an array of structs (place, name)."""
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    return documents.withColumn("items", F.transform(words, lambda word, place: F.struct(place.alias("id"), word.alias("name"))))
+
+
 @registry.query(f"SELECT doc_id, lang, {_MARKED} AS marked FROM documents WHERE {_HIT}")
 def search_match(spark, folder):
     """All documents with a token of the query, tokens marked."""
@@ -64,12 +70,26 @@ def search_next_page_ascending(spark, folder):
 )
 def search_nested_term(spark, folder):
     """Documents as an id with an array of structs; those with an element of exactly this name."""
-    words = F.regexp_extract_all(F.col("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
-    items = F.transform(words, lambda word, place: F.struct(place.alias("id"), word.alias("name")))
-    nested = load(spark, folder, "documents").select("doc_id", "lang", items.alias("items"))
+    nested = _nested(load(spark, folder, "documents"))
     return nested.filter(has_nested_term(F.col("items"), "name", NESTED_TERM)).select("doc_id", "lang")
 
 
+@registry.query(
+    rf"""
+    SELECT doc_id, n_chars, {_MARKED} AS marked FROM documents
+    WHERE {_HIT} AND list_contains({_WORDS.format('text')}, '{NESTED_TERM}')
+    ORDER BY n_chars DESC, doc_id LIMIT 20 OFFSET 5
+    """
+)
+def search_request(spark, folder):
+    """A whole request: match, exact term in nested structs, sort, page and highlight."""
+    found = search(
+        _nested(load(spark, folder, "documents")), "text", QUERY, only=has_nested_term(F.col("items"), "name", NESTED_TERM),
+        sort=[F.col("n_chars").desc(), F.col("doc_id")], start=5, size=20, mark="marked",
+    )
+    return found.select("doc_id", "n_chars", "marked")
+
+
 @registry.query("SELECT doc_id, lang, source, n_chars, text FROM documents WHERE doc_id = 42")
 def document_by_id(spark, folder):
     return by_id(load(spark, folder, "documents"), "doc_id", 42).select("doc_id", "lang", "source", "n_chars", "text")
