@@ -8,12 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 from tillstream import schemas
 from tillstream.operators.first_orders import status_updates, with_first_flag
+from tillstream.operators.offsets import start_position
 from tillstream.plans import inputs
 from tillstream.plans.inputs import load
 from tillstream.session import workspace
 from tillstream.sinks.batches import committed_results, offset_ledger, path_exists
 from tillstream.sources.tables import table_stream
-from tillstream.sources.topics import FileTopics
+from tillstream.sources.topics import FileTopics, KafkaTopics
 from tillstream.streaming import launch
 from tillstream.streaming.jobs import Warehouse
 from tillstream.streaming.runs import each_batch, first_number
@@ -254,3 +255,26 @@ def test_an_order_delivered_twice_is_one_first_order(spark, rows, warehouse):
     warehouse.orders().awaitTermination()
     found = warehouse.order_index.read(spark).select("id", "user_id", "final_total_amount", "if_first_order")
     assert rows(found) == [(1, 7, 100.5, "1"), (2, 7, 100.5, "0")]
+
+
+def test_further_sinks_of_wide_lines(spark, monkeypatch, capsys):
+    place = ["--brokers", "host:1", "--max-offsets", "500", "--root", "r", "wide-orders"]
+    assert launch.further_sink(launch.arguments(place)) is None
+    calls = []
+    monkeypatch.setattr(launch, "append_to_database", lambda rows, *names: calls.append((rows.count(), *names)))
+    sink = launch.further_sink(launch.arguments([*place, "--append-url", "jdbc:x:y", "--append-table", "t", "--show", "2"]))
+    sink(spark.range(3), 7)
+    assert calls == [(3, "jdbc:x:y", "t", None)]
+    assert "only showing top 2 rows" in capsys.readouterr().out
+
+
+def test_topic_options():
+    options = KafkaTopics("host:1", 500, 12).source_options("t", "g", "earliest")
+    assert options["maxOffsetsPerTrigger"] == "500" and options["minPartitions"] == "12"
+    assert "minPartitions" not in KafkaTopics("host:1").source_options("t")
+
+
+def test_start_names_all_partitions_at_their_last_written_offsets(spark):
+    rows = [("g", "t", 0, 9, 1), ("g", "t", 0, 4, 2), ("g", "t", 2, 7, 1), ("h", "t", 1, 5, 1)]
+    ledger = spark.createDataFrame(rows, "group_id string, topic string, partition_id int, topic_offset bigint, batch_id bigint")
+    assert json.loads(start_position(ledger, "t", "g", 4)) == {"t": {"0": 4, "1": -2, "2": 7, "3": -2}}

@@ -18,6 +18,7 @@ if __package__ in (None, ""):
 from tillstream.operators.offsets import start_position  # noqa: E402
 from tillstream.session import tune  # noqa: E402
 from tillstream.sinks.batches import offset_ledger  # noqa: E402
+from tillstream.sinks.stores import append_to_database  # noqa: E402
 from tillstream.sources.topics import FileTopics, KafkaTopics  # noqa: E402
 from tillstream.streaming.jobs import Warehouse  # noqa: E402
 
@@ -40,8 +41,13 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
         route.add_argument("--drop-deletes", action="store_true")
     jobs.add_parser("dimension", help="keep a dimension current").add_argument("name", choices=DIMENSIONS)
     jobs.add_parser("daily-active", help="first event per day and device").add_argument("topic")
-    for name in ("orders", "details", "wide-orders"):
+    for name in ("orders", "details"):
         jobs.add_parser(name)
+    wide = jobs.add_parser("wide-orders")
+    wide.add_argument("--append-url", help="JDBC address of a database that the wide lines are appended to as well")
+    wide.add_argument("--append-table", default="order_wide")
+    wide.add_argument("--append-driver", help="JDBC driver class")
+    wide.add_argument("--show", type=int, default=0, help="print so many rows of every batch")
     brands = jobs.add_parser("brands", help="paid amount per brand and batch")
     brands.add_argument("--resume", action="store_true", help="a first run starts at the offsets written with the results")
     brands.add_argument("--partitions", type=int, default=0, help="partitions of the topic, for those without a saved offset")
@@ -63,8 +69,24 @@ def start(spark: SparkSession, options: argparse.Namespace):
         return warehouse.dimension(options.name)
     if options.job == "daily-active":
         return warehouse.daily_active(options.topic)
+    if options.job == "wide-orders":
+        return warehouse.wide_orders(also=further_sink(options))
     return getattr(warehouse, options.job.replace("-", "_"))()
 
 
+def further_sink(options: argparse.Namespace):
+    """What is done with each batch of wide lines besides the table and the topic; None for nothing."""
+    if not options.append_url and not options.show:
+        return None
+
+    def sink(rows, batch_id: int) -> None:
+        if options.append_url:
+            append_to_database(rows, options.append_url, options.append_table, options.append_driver)
+        if options.show:
+            rows.show(options.show, truncate=False)
+
+    return sink
+
+
 if __name__ == "__main__":
     start(SparkSession.builder.appName("tillstream").getOrCreate(), arguments()).awaitTermination()
