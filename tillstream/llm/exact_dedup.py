@@ -32,6 +32,8 @@ STATE_ON_DISK = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # many small stores: without this each sets megabytes of disk aside that it does not need
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
