@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillstream.session import workspace
@@ -34,18 +34,30 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
+def counted(rows: DataFrame, purpose: str, *more: Column) -> tuple[DataFrame, tuple]:
+    """The rows, written as by `written`, with their number and further totals taken as they are written."""
+    totals = Observation()
+    watched = rows.observe(totals, F.count(F.lit(1)).alias("t0"), *[total.alias(f"t{i}") for i, total in enumerate(more, 1)])
+    stored = written(watched, purpose)
+    found = totals.get
+    return stored, tuple(found[f"t{i}"] for i in range(len(more) + 1))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows a model must not learn from: crc32 of the id as text leaves remainder 1 when divided by 3."""
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 3 == 1
 
 
-def smallest(rows: DataFrame, size: int, within: str | None = None) -> DataFrame:
+def smallest(rows: DataFrame, size: int, within: str | None = None, among: DataFrame | None = None) -> DataFrame:
     """The rows of the `size` ids with the smallest hash, in all or of each value of a column; one row per id.
 
+    `among` gives the ids to choose from, where not all count.
+
     The ids are chosen from narrow rows and written, so that Spark knows how few they are when it joins the texts.
     """
     group = F.col(within) if within else F.lit(0)
-    ids = rows.select("doc_id", group.alias("of")).where("doc_id IS NOT NULL").distinct()
+    ids = rows.select("doc_id", group.alias("of")).where("doc_id IS NOT NULL")
+    ids = (ids if among is None else ids.join(among, "doc_id", "left_semi")).distinct()
     order = Window.partitionBy("of").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = ids.withColumn("nr", F.row_number().over(order)).where(F.col("nr") <= size).select("doc_id", "nr")
     ids = written(ids.groupBy("doc_id").agg(F.min("nr").alias("nr")), "sample")

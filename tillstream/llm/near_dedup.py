@@ -8,10 +8,13 @@ rest are confirmed on their full sets. A pair at the threshold shares no band wi
 ((1 - 0.75^4)^32), and is dropped by its estimate with a chance of about 1e-9.
 
 Equal sets become one class first. A bucket never gives all its pairs: in each round the first few unused
-members of a bucket are its hubs (1, then 4, 16, ...), every later member of another component is
-paired with them, and links found join components before the next round. A bucket is done when its unused
-members lie in one component, so a bucket of copies takes one round, and every pair of members
-that could still join two components is tested sooner or later. Component ids are thus those of all links.
+members of a bucket are its hubs, every later member of another component is paired with them, and links found join
+components before the next round; a bucket whose unused members lie in one component is done. Bands have two rounds,
+with 1 and with 4 hubs. What is left are members of large buckets of unlike texts, such as texts that quote one passage.
+Their pairs are found without bands and without loss: of the left texts, those as similar as asked share one of the
+rarest quarter of their shingles (prefix filter), and what comes after the first shared one bounds how many they can share
+(positional filter). Buckets by such shingles go through rounds of 1, 16, 256, ... hubs until all are done. Component ids are
+thus those of all links.
 
 Defined cases: null or empty texts have no words, are their own component and linked with nothing; rows
 that repeat an id are judged row by row; null ids rank last in a component and stay if it has no other; an
@@ -29,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.base import filled, written
+from tillstream.llm.base import counted, filled, written
 from tillstream.llm.components import components
 
 WORDS = 5
@@ -38,6 +41,7 @@ HASHES = 128
 BAND_ROWS = 4
 BITS = 4
 DEVIATIONS = 6
+BAND_HUBS = (1, 4)
 _CHUNK = 2048  # shingles hashed at once
 _MIX_A, _MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SIGNATURE = "doc_id bigint, text_key bigint, n_shingles bigint, digest binary, bands array<bigint>, planes array<bigint>"
@@ -150,9 +154,8 @@ def _classes(signed: DataFrame) -> DataFrame:
     return written(grouped.withColumn("id", F.monotonically_increasing_id()), "near-classes")
 
 
-def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The full sets of the classes in the pairs."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def _sets(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """The full sets of the classes with these ids."""
     wanted = classes.join(ids, "id").select("id", "text_of").alias("w")
     d = _keyed(docs).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("w.text_of.doc_id")) & (F.col("d.text_key") == F.col("w.text_of.text_key"))
@@ -173,48 +176,98 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.col("shared") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
-def _linked(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(id, component) of the classes that are linked to one with a smaller id."""
-    spark = docs.sparkSession
-    members = classes.select("id", F.explode("bands").alias("key"))
+def _shared_only(members: DataFrame) -> DataFrame:
+    """Members of buckets that have more than one."""
     shared = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(members.join(shared, "key", "left_semi"), "near-members")
-    narrow = classes.select("id", "n", "planes")
-    labels = spark.createDataFrame([], "node bigint, component bigint")
-    hubs_each = 1
-    while not members.isEmpty():
-        placed = members.join(labels, F.col("id") == F.col("node"), "left").select(
-            "key", "id", F.coalesce("component", "id").alias("component")
-        )
-        placed = written(placed, "near-placed")
-        open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        still = placed.join(open_keys.where("low <> high").select("key"), "key", "left_semi")
-        order = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        hubs = still.withColumn("nr", order).where(F.col("nr") <= hubs_each).select(
-            "key", F.col("id").alias("hub"), F.col("component").alias("hub_component")
-        )
-        hubs = written(hubs, "near-hubs")
-        met = still.join(hubs, "key").where("id > hub AND component <> hub_component")
-        met = met.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-        a, b = narrow.select(*[F.col(c).alias(f"{c}_a") for c in narrow.columns]), narrow.select(*[F.col(c).alias(f"{c}_b") for c in narrow.columns])
-        near = met.join(a, F.col("a") == F.col("id_a")).join(b, F.col("b") == F.col("id_b"))
-        near = near.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        near = near.where(estimate(F.col("planes_a"), F.col("planes_b")) >= least_estimate(percent)).select("a", "b")
-        near = written(near, "near-pairs")
-        if not near.isEmpty():
-            sets = written(_sets(docs, classes, near), "near-sets")
-            links = _confirmed(near, sets, percent)
-            known = labels.select("node", "component")
-            ends = links.join(known.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
-                known.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left"
-            )
-            joined = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-            moved = joined.select(F.col("node").alias("component"), F.col("component").alias("moved"))
-            labels = labels.join(moved, "component", "left").select("node", F.coalesce("moved", "component").alias("component"))
-            labels = written(labels.unionByName(joined), "near-labels")
-        last = hubs.groupBy("key").agg(F.max("hub").alias("last"))
-        members = written(members.join(last, "key").where("id > last").select("key", "id"), "near-members")
-        hubs_each *= 4
+    return members.join(shared, "key", "left_semi")
+
+
+def _prefixes(docs: DataFrame, classes: DataFrame, ids: DataFrame, percent: int) -> DataFrame:
+    """Rare shingles of these classes: key, id, number of the class's rarer ones (at) and of all of them (n).
+
+    Two classes that are similar enough share one of these; the order is by the number of classes here that have a shingle.
+    """
+    tokens = written(_sets(docs, classes, ids), "near-left-sets").select(
+        "id", F.size("members").alias("n"), F.explode("members").alias("key")
+    )
+    found = tokens.groupBy("key").agg(F.count("*").alias("classes")).where("classes > 1")
+    ordered = tokens.join(found, "key").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("classes", "key"))).alias("all"))
+    placed = ordered.select("id", "n", F.size("all").alias("shared"), F.posexplode("all").alias("nr", "one"))
+    placed = placed.select(F.col("one.key").alias("key"), "id", (F.col("n") - F.col("shared") + F.col("nr")).alias("at"), "n")
+    return placed.where(F.col("at") * 100 <= F.col("n") * (100 - percent))
+
+
+def _placed(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members with their component."""
+    if labels is None:
+        return members.withColumn("component", F.col("id"))
+    found = members.join(labels, F.col("id") == F.col("node"), "left")
+    return found.select(*members.columns, F.coalesce("component", "id").alias("component"))
+
+
+def _undone(placed: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component."""
+    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(open_keys.where("low <> high").select("key"), "key", "left_semi")
+
+
+def _meet(
+    members: DataFrame, labels: DataFrame | None, narrow: DataFrame, hubs_each: int, percent: int
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Pairs of a bucket's first members with its later ones that could be linked, and the members not used; None for none."""
+    still, n = counted(_undone(_placed(members, labels)), "near-undone")
+    if not n[0]:
+        return None, None
+    order = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    hubs = still.withColumn("nr", order).where(F.col("nr") <= hubs_each).drop("nr")
+    hubs = written(hubs.select("key", *[F.col(c).alias(f"{c}_hub") for c in hubs.columns if c != "key"]), "near-hubs")
+    met = still.join(hubs, "key").where("id > id_hub AND component <> component_hub")
+    if "at" in members.columns:
+        most = F.least(F.col("n") - F.col("at"), F.col("n_hub") - F.col("at_hub"))
+        met = met.where((100 + percent) * most >= percent * (F.col("n") + F.col("n_hub")))
+    met = met.select(F.col("id_hub").alias("a"), F.col("id").alias("b")).distinct()
+    a, b = (narrow.select(*[F.col(c).alias(f"{c}_{side}") for c in narrow.columns]) for side in "ab")
+    near = met.join(a, F.col("a") == F.col("id_a")).join(b, F.col("b") == F.col("id_b"))
+    near = near.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    near = near.where(estimate(F.col("planes_a"), F.col("planes_b")) >= least_estimate(percent)).select("a", "b")
+    last = hubs.groupBy("key").agg(F.max("id_hub").alias("last"))
+    rest = still.drop("component").join(last, "key").where("id > last").select(*members.columns)
+    near, n = counted(near, "near-pairs")
+    return near if n[0] else None, rest
+
+
+def _joined(docs: DataFrame, classes: DataFrame, near: DataFrame | None, labels: DataFrame | None, percent: int) -> DataFrame | None:
+    """Labels after the pairs that are links on their full sets."""
+    if near is None:
+        return labels
+    ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
+    links = _confirmed(near, written(_sets(docs, classes, ids), "near-sets"), percent)
+    if labels is None:
+        return components(links)
+    ends = links.join(labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
+        labels.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left"
+    )
+    joined = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("moved"))
+    labels = labels.join(moved, "component", "left").select("node", F.coalesce("moved", "component").alias("component"))
+    return written(labels.unionByName(joined), "near-labels")
+
+
+def _linked(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
+    """(node, component) of the classes that are linked to one with a smaller id; None where no pair came near."""
+    narrow, labels = classes.select("id", "n", "planes"), None
+    members = _shared_only(classes.select(F.explode("bands").alias("key"), "id"))
+    for hubs_each in BAND_HUBS:
+        near, members = _meet(members, labels, narrow, hubs_each, percent)
+        labels = _joined(docs, classes, near, labels, percent)
+        if members is None:
+            return labels
+    ids, n = counted(_undone(_placed(members, labels)).select("id").distinct(), "near-left")
+    members, hubs_each = _shared_only(_prefixes(docs, classes, ids, percent)) if n[0] else None, 1
+    while members is not None:
+        near, members = _meet(members, labels, narrow, hubs_each, percent)
+        labels = _joined(docs, classes, near, labels, percent)
+        hubs_each *= 16
     return labels
 
 
@@ -223,9 +276,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     signed = written(signatures(docs), "near-signatures")
     classes = _classes(signed)
     labels = _linked(docs, classes, percent)
-    placed = classes.select("digest", "id", "first_id").join(labels, F.col("id") == F.col("node"), "left").select(
-        "digest", "id", "first_id", F.coalesce("component", "id").alias("component")
-    )
+    placed = _placed(classes.select("digest", "id", "first_id"), labels)
     lowest = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_digest = placed.join(lowest, "component").select(
         F.col("digest").alias("of_digest"), F.col("id").alias("class_id"), "component_id"
