@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from tillstream.llm.base import ascii_lower
+from tillstream.llm.base import ascii_lower, written
 from tillstream.session import workspace
 
 STATE_ON_DISK = {
@@ -101,7 +101,8 @@ def exact_groups(
     per_batch = max(1, math.ceil(len(narrow.inputFiles()) / batches))
     stream = spark.readStream.schema(narrow.schema).option("maxFilesPerTrigger", per_batch).parquet(f"{root}/rows")
     keep_state(stream.select("digest", "doc_id", "locator"), f"{root}/state", f"{root}/changes").awaitTermination()
-    state = current_state(spark, f"{root}/changes")
+    # written, so that both sides of the join below are plain shuffles, which a skew join can split
+    state = written(current_state(spark, f"{root}/changes"), "exact-state")
 
     texts = rows.groupBy("digest").agg(F.count("*").alias("n"), F.min("body").alias("least"), F.max("body").alias("most"))
     confused = texts.where((F.col("n") > 1) & (F.col("least") != F.col("most"))).select("digest")
