@@ -103,7 +103,8 @@ def write_arc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> No
         if blob:
             yield pd.DataFrame({"value": [blob.decode()]})
 
-    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), filled(F.col("html")).alias("html"))
+    page_id, url = F.col("page_id").cast("bigint"), F.col("url").cast("string")
+    rows = pages.select(page_id.alias("page_id"), url.alias("url"), filled(F.col("html")).alias("html"))
     _write_files(rows.mapInPandas(build, "value string"), folder, "\n")
 
 
@@ -178,7 +179,8 @@ def convert(records: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     size = F.octet_length("payload")
     page = F.coalesce("page_id", F.lit(2**63 - 1))
     large = records.where(size >= least_bytes)
-    first = large.groupBy("payload_digest").agg(F.min(F.struct(page.alias("page"), "record_id", "target_uri", "date")).alias("first"))
+    candidate = F.struct(page.alias("page"), "record_id", "target_uri", "date")
+    first = large.groupBy("payload_digest").agg(F.min(candidate).alias("first"))
     joined = records.withColumn("large_digest", F.when(size >= least_bytes, F.col("payload_digest"))).join(
         first.withColumnRenamed("payload_digest", "first_digest"), F.col("large_digest") == F.col("first_digest"), "left"
     )
