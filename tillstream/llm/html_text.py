@@ -30,11 +30,15 @@ from pyspark.sql import functions as F
 from tillstream.llm.base import filled, written
 
 SAMPLE_PAGES = 200
+SCORED_TOGETHER = 100
 TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
+DRESSED_DEPTH = 200  # sample pages nested deeper are learnt from as they are
 
 # HTML element names by how they are read, and words that name an element's role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math select option button object canvas audio video".split())
+RAW = frozenset(
+    "script style textarea title noscript iframe template svg math select option button object canvas audio video".split()
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -52,10 +56,16 @@ ASIDE_WORDS = frozenset(
 CLOSES = {  # an open element of the value's kinds ends where the key's tag starts
     "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
 }
-_KEEP_OPEN = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
+_KEEP_OPEN = {
+    "li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"},
+}
 
+# Comments, declarations, tags with quoted attributes, and tags whose quotes do not close.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
+    re.S,
 )
 _ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -185,7 +195,7 @@ def taught(nodes: list[Node]) -> np.ndarray:
     for number, node in enumerate(nodes):
         inside = number > 0 and out[node.parent]
         content = node.tag in CONTENT_TAGS or bool(node.words & CONTENT_WORDS)
-        aside = node.tag in ASIDE_TAGS or (bool(node.words & ASIDE_WORDS) and not node.tag in CONTENT_TAGS)
+        aside = node.tag in ASIDE_TAGS or (bool(node.words & ASIDE_WORDS) and node.tag not in CONTENT_TAGS)
         above = number > 0 and getattr(nodes[node.parent], "left_out", False)
         node.left_out = above or (aside and node.tag not in ("html", "body"))
         out[number] = not node.left_out and (inside or (content and node.tag not in ("html", "body")))
@@ -196,19 +206,20 @@ def _dressed(page: str, rng: np.random.Generator) -> tuple[list[Node], np.ndarra
     """A sample page whose roles are named otherwise, with further boilerplate put in, and its nodes' labels."""
     nodes = parse(page)
     labels = taught(nodes)
-    if not labels.any():
+    if not labels.any() or max(node.depth for node in nodes) > DRESSED_DEPTH:
         return None
-    texts = [child[0] for node, inside in zip(nodes, labels) if not inside for child in node.children if isinstance(child, tuple) and child[0].strip()]
+    texts = [text for node, inside in zip(nodes, labels) if not inside for text in _own_texts(node) if text.strip()]
     mode = rng.integers(3)
     blocks = []
     for _ in range(rng.integers(1, 4)):
         words = sorted(ASIDE_WORDS)[rng.integers(len(ASIDE_WORDS))]
         tag = ("div", "aside", "section", "form", "footer")[rng.integers(5)]
-        body = "".join(f"<p>{html.escape(texts[rng.integers(len(texts))])}</p>" for _ in range(rng.integers(1, 5))) if texts else ""
+        said = [html.escape(texts[rng.integers(len(texts))]) for _ in range(rng.integers(1, 5))] if texts else []
+        body = "".join(f"<p>{text}</p>" for text in said)
         linked = f"<ul><li><a href='#'>{words}</a></li></ul>" if rng.random() < 0.4 else ""
         blocks.append(f'<{tag} class="{words}">{body}{linked}</{tag}>')
     root = next(number for number, inside in enumerate(labels) if inside)
-    out, want = [], []
+    out: list[str] = []
 
     def emit(number: int) -> None:
         node = nodes[number]
@@ -241,16 +252,30 @@ def _dressed(page: str, rng: np.random.Generator) -> tuple[list[Node], np.ndarra
     # labels follow the names; without names (mode 2) the root is the node whose text starts the content
     want = taught(again)
     if mode == 2:
-        opening = "".join(child[0] for node in nodes[root : nodes[root].end] for child in node.children if isinstance(child, tuple))[:40]
-        starts = [number for number, node in enumerate(again) if "".join(c[0] for x in again[number : node.end] for c in x.children if isinstance(c, tuple))[:40] == opening]
-        wide = [number for number in starts if again[number].tag == "div"]
-        if not wide:
+        opening = _opening(nodes, root)
+        wide = (number for number, node in enumerate(again) if node.tag == "div" and _opening(again, number) == opening)
+        first = next(wide, None)
+        if first is None:
             return None
-        for number in range(wide[0], again[wide[0]].end):
+        for number in range(first, again[first].end):
             want[number] = not again[number].left_out
     return again, want
 
 
+def _own_texts(node: Node) -> list[str]:
+    return [child[0] for child in node.children if isinstance(child, tuple)]
+
+
+def _opening(nodes: list[Node], number: int, size: int = 40) -> str:
+    """The first characters of an element's text."""
+    said = ""
+    for node in nodes[number : nodes[number].end]:
+        said += "".join(_own_texts(node))
+        if len(said) >= size:
+            break
+    return said[:size]
+
+
 @dataclass
 class Trees:
     """Complete regression trees: split feature and cut of every inner node, and value of every leaf."""
@@ -373,11 +398,20 @@ def fit(pages: DataFrame, size: int = SAMPLE_PAGES) -> Trees | None:
     return boost(np.concatenate(rows), np.concatenate(labels))
 
 
-def extract(page: str, trees: Trees | None) -> str:
-    if not page or trees is None:
-        return ""
-    nodes = parse(page)
-    return "\n".join(blocks(nodes, decode(nodes, trees.margin(node_features(nodes)))))
+def extract(pages: list[str], trees: Trees | None) -> list[str]:
+    """Main text of each page; the nodes of some pages go through the trees together."""
+    if trees is None:
+        return [""] * len(pages)
+    out = []
+    for first in range(0, len(pages), SCORED_TOGETHER):
+        parsed = [parse(page) for page in pages[first : first + SCORED_TOGETHER]]
+        margins = trees.margin(np.concatenate([node_features(nodes) for nodes in parsed]))
+        at = 0
+        for nodes in parsed:
+            label = decode(nodes, margins[at : at + len(nodes)])
+            out.append("\n".join(blocks(nodes, label)))
+            at += len(nodes)
+    return out
 
 
 def main_text(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
@@ -386,10 +420,10 @@ def main_text(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
 
     def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            texts = [extract(page, trees) for page in part["html"]]
-            yield pd.DataFrame(
-                {"page_id": part["page_id"].astype("Int64"), "url": part["url"], "text": texts, "n_chars": [len(text) for text in texts]}
-            )
+            texts = extract(list(part["html"]), trees)
+            ids, sizes = part["page_id"].astype("Int64"), [len(text) for text in texts]
+            yield pd.DataFrame({"page_id": ids, "url": part["url"], "text": texts, "n_chars": sizes})
 
-    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), filled(F.col("html")).alias("html"))
+    page_id, url = F.col("page_id").cast("bigint"), F.col("url").cast("string")
+    rows = pages.select(page_id.alias("page_id"), url.alias("url"), filled(F.col("html")).alias("html"))
     return rows.mapInPandas(read, "page_id bigint, url string, text string, n_chars bigint")
