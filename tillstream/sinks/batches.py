@@ -50,6 +50,9 @@ def write_batch(rows: DataFrame, root: str, batch_id: int, partition_by: list[st
     path = f"{root}/batch_id={batch_id}"
     if path_exists(rows.sparkSession, f"{path}/_SUCCESS"):
         return False
+    if partition_by:
+        # rows of one folder in few tasks: each task writes a file to every folder it has rows for
+        rows = rows.hint("rebalance", *partition_by)
     writer = rows.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
