@@ -129,8 +129,8 @@ def train(positives: np.ndarray, unlabelled: np.ndarray) -> Model:
     return Model(centre, spread, at[:-1], float(at[-1]), prior)
 
 
-def _sample(rows: DataFrame, size: int) -> np.ndarray:
-    some = smallest(rows.select("doc_id", filled(F.col("text")).alias("text")), size)
+def _sample(rows: DataFrame, size: int, among: DataFrame | None = None) -> np.ndarray:
+    some = smallest(rows.select("doc_id", filled(F.col("text")).alias("text")), size, among=among)
 
     def describe(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -144,15 +144,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     """Learn from rows that are not held out; None without a positive."""
     learnt = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text")
     trusted = labels.where("quality = 1").select("doc_id").distinct()
-    positives = _sample(learnt.join(trusted, "doc_id", "left_semi"), sample)
+    positives = _sample(learnt, sample, among=trusted)
     return train(positives, _sample(learnt, sample)) if len(positives) else None
 
 
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, score and predicted of every text."""
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), filled(F.col("text")).alias("text")
-    )
+    doc_id, text = F.col("doc_id"), filled(F.col("text"))
+    rows = docs.select(doc_id.cast("bigint").alias("doc_id"), held_out(doc_id).alias("held_out"), text.alias("text"))
     if model is None:
         return rows.select("doc_id", "held_out", F.lit(0.5).alias("score"), F.lit(1).alias("predicted"))
 
@@ -160,9 +159,8 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
         for part in parts:
             described = np.stack([features(text) for text in part["text"]]) if len(part) else np.zeros((0, N_FEATURES))
             scores = model.score(described).astype(float)
-            yield pd.DataFrame(
-                {"doc_id": part["doc_id"].astype("Int64"), "held_out": part["held_out"], "score": scores, "predicted": (scores >= 0.5).astype("int32")}
-            )
+            ids, predicted = part["doc_id"].astype("Int64"), (scores >= 0.5).astype("int32")
+            yield pd.DataFrame({"doc_id": ids, "held_out": part["held_out"], "score": scores, "predicted": predicted})
 
     return rows.mapInPandas(score, "doc_id bigint, held_out boolean, score double, predicted int")
 
