@@ -1,15 +1,17 @@
 """Streams against their batch form, in several batches, repeated and end to end."""
 
 import datetime as dt
+import itertools
 import json
 from dataclasses import replace
 
 import pytest
+from compare import database, differences
 from pyspark.sql import functions as F
 from tillstream import schemas
 from tillstream.operators.first_orders import status_updates, with_first_flag
 from tillstream.operators.offsets import start_position
-from tillstream.plans import inputs
+from tillstream.plans import inputs, stream_runs
 from tillstream.plans.inputs import load
 from tillstream.session import workspace
 from tillstream.sinks.batches import committed_results, offset_ledger, path_exists
@@ -156,6 +158,21 @@ def test_payment_is_allocated_across_batches(spark, warehouse):
     assert warehouse.allocation_sums.read(spark).filter("order_id = 1").first().line_count == 3
 
 
+@pytest.mark.parametrize("name", ["stream_wide", "stream_split"])
+def test_slow_runs_lose_no_line(spark, monkeypatch, name):
+    """With hours between the runs every line still meets its order, and sums of earlier runs count."""
+    hours, runs, wide_orders = itertools.count(1), [dt.datetime(2026, 1, 1)], Warehouse.wide_orders
+
+    def later(*given, **named):
+        runs.append(runs[0] + dt.timedelta(hours=next(hours)))
+        return wide_orders(*given, **named)
+
+    monkeypatch.setattr(Warehouse, "wide_orders", later)
+    monkeypatch.setattr(F, "current_timestamp", lambda: F.lit(runs[-1]))
+    found = getattr(stream_runs, name)(spark, SMALL).toPandas()
+    assert differences(found, database(SMALL).execute(stream_runs.registry.sql[name]).df()) is None
+
+
 def test_end_to_end(spark, rows, warehouse):
     """Change records in, brand sums out, through every layer; a second run finds nothing new."""
     change = lambda table, data, kind="insert": {"type": kind, "table": table, "data": data}

@@ -25,6 +25,11 @@ def hour_part(text: Column) -> Column:
     return F.substring_index(F.try_element_at(F.split(text, " "), F.lit(2)), ":", 1)
 
 
+def stream_time(text: Column) -> Column:
+    """Time of `yyyy-MM-dd HH:mm:ss` for a stream, whose watermark starts at 1970: no time and all before is 1970-01-02."""
+    return F.greatest(F.try_to_timestamp(text), F.lit("1970-01-02 00:00:00").cast("timestamp"))
+
+
 def now_text(pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Processing time as text; one value per batch."""
     return F.date_format(F.current_timestamp(), pattern)
