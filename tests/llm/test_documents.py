@@ -8,7 +8,7 @@ import zlib
 
 import pytest
 from pyspark.sql import functions as F
-from tillstream.llm import decontamination, exact_dedup, language, line_dedup, near_dedup, packing, quality
+from tillstream.llm import base, decontamination, exact_dedup, language, line_dedup, near_dedup, packing, quality
 from tillstream.llm.components import components
 from tillstream.llm.queries import tokenizer_path
 
@@ -356,6 +356,24 @@ def test_quality(spark, empty):
     assert {r.score for r in quality.quality(docs, given.limit(0)).collect()} == {0.5}
 
 
+def test_sample_of_ids_is_cut_in_every_task(spark):
+    """The ids of a sample over the whole table are not ranked in one task, and stay the same ids."""
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    rows = docs.unionByName(docs.where("doc_id < 900")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS doc_id, 'x' AS text"))
+    plans, real = [], base.written
+
+    def seen(frame, purpose):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return real(frame, purpose)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(base, "written", seen)
+        found = base.smallest(rows, 1500).collect()
+    ordered = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(1500).collect()
+    assert sorted((r.nr, r.doc_id) for r in found) == [(nr, r.doc_id) for nr, r in enumerate(ordered, 1)]
+    assert len(plans) == 1 and "TakeOrderedAndProject" in plans[0]
+
+
 def test_prior_estimate():
     import numpy as np
 

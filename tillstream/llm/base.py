@@ -55,11 +55,14 @@ def smallest(rows: DataFrame, size: int, within: str | None = None, among: DataF
 
     The ids are chosen from narrow rows and written, so that Spark knows how few they are when it joins the texts.
     """
-    group = F.col(within) if within else F.lit(0)
-    ids = rows.select("doc_id", group.alias("of")).where("doc_id IS NOT NULL")
+    ids = rows.select("doc_id", *([F.col(within).alias("of")] if within else [])).where("doc_id IS NOT NULL")
     ids = (ids if among is None else ids.join(among, "doc_id", "left_semi")).distinct()
-    order = Window.partitionBy("of").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.withColumn("nr", F.row_number().over(order)).where(F.col("nr") <= size).select("doc_id", "nr")
-    ids = written(ids.groupBy("doc_id").agg(F.min("nr").alias("nr")), "sample")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    if within:
+        nr = F.row_number().over(Window.partitionBy("of").orderBy(*order))
+        ids = ids.withColumn("nr", nr).where(F.col("nr") <= size).groupBy("doc_id").agg(F.min("nr").alias("nr"))
+    else:  # each task keeps its own first ids; only those are numbered together
+        ids = ids.orderBy(*order).limit(size).withColumn("nr", F.row_number().over(Window.orderBy(*order)))
+    ids = written(ids, "sample")
     others = [F.min(name).alias(name) for name in rows.columns if name != "doc_id"]
     return rows.join(ids, "doc_id").groupBy("doc_id", "nr").agg(*others)
