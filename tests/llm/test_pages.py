@@ -131,6 +131,15 @@ def test_broken_pages_are_read(trees, broken):
     assert isinstance(alone, str) and isinstance(after, str)
 
 
+@pytest.mark.parametrize("size", [3, 63, 64, 200])
+def test_place_among_siblings(size):
+    """The place is counted among the siblings, however many there are."""
+    rows = html_text.node_features(html_text.parse("<nav><p>a</p></nav>" + "<ul>" + "<li><p>x</p></li>" * size + "</ul>"))
+    items = rows[4::2]  # after the document, nav, its paragraph and the list
+    assert len(items) == size
+    assert items[:, 7].tolist() == [min(k, 64) for k in range(size)] and set(items[:, 8]) == {min(size, 64)}
+
+
 def test_decoding_is_consistent():
     """Nothing below a node left out is chosen, and no frame lies in the content."""
     rng = np.random.default_rng(2)

@@ -170,17 +170,18 @@ def node_features(nodes: list[Node]) -> np.ndarray:
         if number:
             for totals in (text, linked, paragraphs, count):
                 totals[node.parent] += totals[number]
+    place, width = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for number, node in enumerate(nodes):
+        elements = [child for child in node.children if isinstance(child, int)]
+        place[elements], width[number] = np.arange(len(elements)), len(elements)
     own = np.zeros((n, N_OWN))
     for number, node in enumerate(nodes):
-        parent = nodes[node.parent] if number else node
-        siblings = [child for child in parent.children if isinstance(child, int)]
-        place = siblings.index(number) if number and len(siblings) < 64 else min(number, 64)
         above = own[node.parent] if number else np.zeros(N_OWN)
         content = node.tag in CONTENT_TAGS or bool(node.words & CONTENT_WORDS)
         aside = node.tag in ASIDE_TAGS or bool(node.words & ASIDE_WORDS)
         own[number] = (
             content, aside, node.tag in PARAGRAPHS, node.tag in ("html", "body", "#document"), node.tag in ("ul", "ol", "li"),
-            node.tag.startswith("h") and node.tag[1:].isdigit(), min(node.depth, 30), min(place, 64), min(len(siblings), 64),
+            node.tag.startswith("h") and node.tag[1:].isdigit(), min(node.depth, 30), min(place[number], 64), min(width[max(node.parent, 0)], 64),
             np.log1p(text[number]), np.log1p(text[number] / count[number]), linked[number] / max(text[number], 1),
             np.log1p(paragraphs[number]), text[number] / max(text[node.parent] if number else text[0], 1), text[number] / max(text[0], 1),
             max(above[15], content), max(above[16], aside),
