@@ -140,6 +140,21 @@ def test_place_among_siblings(size):
     assert items[:, 7].tolist() == [min(k, 64) for k in range(size)] and set(items[:, 8]) == {min(size, 64)}
 
 
+@pytest.mark.parametrize("tag", ["object", "noscript", "canvas", "audio", "video", "button"])
+def test_text_of_embedded_elements_is_read(trees, tag):
+    whole = f"<p>{PROSE}one <{tag}>{PROSE}fallback</{tag}> two</p>"
+    nodes = html_text.parse(whole)
+    assert html_text.blocks(nodes, np.ones(len(nodes), np.int64)) == [f"{PROSE}one", f"{PROSE}fallback", "two"]
+    [text] = html_text.extract([page(f"<article><h1>Head</h1><p>{PROSE}</p><{tag}><p>{PROSE}fallback</p></{tag}></article>")], trees)
+    assert f"{PROSE}fallback" in text
+
+
+def test_formulas_and_drawings_belong_to_the_sentence():
+    formula = "<math><mrow><mi>E</mi><mo>=</mo><msup><mi>mc</mi><mn>2</mn></msup></mrow></math>"
+    nodes = html_text.parse(f"<p>So {formula} holds <svg><title>t</title><g><path d='x'/><text>here</text></g></svg> too</p>")
+    assert html_text.blocks(nodes, np.ones(len(nodes), np.int64)) == ["So E=mc2 holds here too"]
+
+
 def test_decoding_is_consistent():
     """Nothing below a node left out is chosen, and no frame lies in the content."""
     rng = np.random.default_rng(2)

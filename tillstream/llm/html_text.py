@@ -36,13 +36,20 @@ DRESSED_DEPTH = 200  # sample pages nested deeper are learnt from as they are
 
 # HTML element names by how they are read, and words that name an element's role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset(
-    "script style textarea title noscript iframe template svg math select option button object canvas audio video".split()
+RAW = frozenset("script style textarea title iframe template select option".split())
+FORMULA = frozenset(
+    "math maction annotation annotation-xml menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+    "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
 )
-INLINE = frozenset(
+DRAWING = frozenset(
+    "svg circle clippath defs desc ellipse filter foreignobject g image line lineargradient marker mask metadata path pattern "
+    "polygon polyline radialgradient rect stop symbol text textpath tspan use".split()
+)
+INLINE = FORMULA | DRAWING | frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
+EMBEDDED = frozenset("audio button canvas noscript object video".split())  # nodes that may stand in a paragraph
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th pre blockquote figcaption caption summary address".split())
 CONTENT_TAGS = frozenset("article main".split())
 ASIDE_TAGS = frozenset("nav aside footer header form fieldset dialog menu head figure-controls".split())
@@ -130,7 +137,7 @@ def parse(page: str) -> list[Node]:
                 link = 0
             continue
         link = 0
-        if "p" in names:  # a paragraph ends where a block starts
+        if "p" in names and tag not in EMBEDDED:  # a paragraph ends where a block starts
             close(names.index("p"))
         for place in range(len(open_nodes) - 1, 0, -1):
             name = nodes[open_nodes[place]].tag
