@@ -155,6 +155,29 @@ def test_formulas_and_drawings_belong_to_the_sentence():
     assert html_text.blocks(nodes, np.ones(len(nodes), np.int64)) == ["So E=mc2 holds here too"]
 
 
+def plain(number):
+    prose = "".join(f"<p>{PROSE}{number} {i}</p>" for i in range(3))
+    return page(f"<div><ul><li><a href='/'>home</a></li><li><a href='/b'>more</a></li></ul></div><div><h1>Head</h1>{prose}</div>")
+
+
+def test_few_pages_that_name_their_content_are_found(spark):
+    """Trees are learnt although no page of a sample of all would name a content element, or only seem to."""
+    rows = [(i, "u", plain(i)) for i in range(60)] + [(100 + i, "u", sample(i)) for i in range(3)]
+    rows += [(200 + i, "u", page(f"<nav><p class='main'>{i}</p></nav>")) for i in range(40)]
+    frame = spark.createDataFrame(rows, SHAPE)
+    ids = [r.page_id for r in frame.where("page_id < 100 OR page_id >= 200").orderBy(F.xxhash64("page_id")).limit(2).collect()]
+    few = frame.where(F.col("page_id").isin(ids) | F.col("page_id").between(100, 102) | (F.col("page_id") >= 200))
+    assert html_text.fit(few, 1) is not None
+
+
+def test_without_any_named_content_density_decides(spark):
+    frame = spark.createDataFrame([(i, "u", plain(i)) for i in range(5)] + [(9, "u", None)], SHAPE)
+    assert html_text.fit(frame) is None
+    found = {r.page_id: r.text for r in html_text.main_text(frame).collect()}
+    assert found.pop(9) == ""
+    assert all(text.split("\n") == ["Head", *[f"{PROSE}{i} {k}" for k in range(3)]] for i, text in found.items())
+
+
 def test_decoding_is_consistent():
     """Nothing below a node left out is chosen, and no frame lies in the content."""
     rng = np.random.default_rng(2)

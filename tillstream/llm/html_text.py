@@ -6,7 +6,8 @@ share of link text, and the same of its parent. Boosted regression trees give th
 in the main content. A dynamic program over the tree then picks the most likely consistent labelling: below a
 node that is left out everything is left out, and a frame around the content never lies inside it.
 
-The trees are trained on a bounded sample of pages. Their nodes get labels from the words that name an
+The trees are trained on a bounded sample of the pages that name a content element; where no page does, the density
+of text stands in for them. Their nodes get labels from the words that name an
 element's role (fixed lists below), and each sample page is also seen in other dress: roles named otherwise or
 not at all, and with comments, forms, notices and side columns put in from the page's own boilerplate.
 
@@ -31,6 +32,7 @@ from tillstream.llm.base import filled, written
 
 SAMPLE_PAGES = 200
 SCORED_TOGETHER = 100
+DENSE = 10  # characters per element from which text is content where no page names a content element
 TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
 DRESSED_DEPTH = 200  # sample pages nested deeper are learnt from as they are
 
@@ -76,6 +78,12 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
+# Finds every page in which an element has a content tag or word, and some others.
+_NAMES_CONTENT = (
+    rf"(?i)<(?:{'|'.join(sorted(CONTENT_TAGS))})[\s/>]"
+    r"|(?:class|id|role)\s*=\s*(?:\"[^\"]*|'[^']*|[^\s>]*)(?<![a-z])"
+    rf"(?:{'|'.join(sorted(CONTENT_WORDS))})(?![a-z])"
+)
 
 
 @dataclass
@@ -388,7 +396,25 @@ def blocks(nodes: list[Node], label: np.ndarray) -> list[str]:
 
 
 def fit(pages: DataFrame, size: int = SAMPLE_PAGES) -> Trees | None:
-    """Trees learnt from `size` pages, those with the smallest hash of their id; None if no page names a content element."""
+    """Trees learnt from `size` of the pages that name a content element; None if there is no such page.
+
+    Those with the smallest hash of their id are taken. A page that seems to name one may not (it stands in a menu, or
+    in a text); only when the whole sample is such, all pages are read for the sample.
+    """
+    named = pages.where(filled(F.col("html")).rlike(_NAMES_CONTENT))
+    return _learnt(named, size) or _learnt(_naming_content(named), size)
+
+
+def _naming_content(pages: DataFrame) -> DataFrame:
+    def keep(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield part[[bool(taught(parse(page)).any()) for page in part["html"]]]
+
+    rows = pages.select("page_id", filled(F.col("html")).alias("html"))
+    return rows.mapInPandas(keep, rows.schema)
+
+
+def _learnt(pages: DataFrame, size: int) -> Trees | None:
     ids = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(size)
     ids = written(ids, "page-sample")
     some = pages.join(ids, "page_id").groupBy("page_id").agg(F.min(filled(F.col("html"))).alias("html"))
@@ -406,14 +432,20 @@ def fit(pages: DataFrame, size: int = SAMPLE_PAGES) -> Trees | None:
     return boost(np.concatenate(rows), np.concatenate(labels))
 
 
+def by_density(rows: np.ndarray) -> np.ndarray:
+    """Margins without trees: characters outside links per element, of a paragraph's parent too, against a fixed number."""
+    own = np.log1p(np.expm1(rows[:, 10]) * (1 - rows[:, 11]))
+    above = np.log1p(np.expm1(rows[:, N_OWN + 10]) * (1 - rows[:, N_OWN + 11]))
+    dense = np.where((rows[:, 2] > 0) & (rows[:, 11] < 0.5), np.maximum(own, above), own)
+    return np.where(rows[:, 16] > 0, -3.0, dense - np.log1p(DENSE))
+
+
 def extract(pages: list[str], trees: Trees | None) -> list[str]:
-    """Main text of each page; the nodes of some pages go through the trees together."""
-    if trees is None:
-        return [""] * len(pages)
-    out = []
+    """Main text of each page; the nodes of some pages go through the trees together. Without trees density decides."""
+    out, score = [], trees.margin if trees else by_density
     for first in range(0, len(pages), SCORED_TOGETHER):
         parsed = [parse(page) for page in pages[first : first + SCORED_TOGETHER]]
-        margins = trees.margin(np.concatenate([node_features(nodes) for nodes in parsed]))
+        margins = score(np.concatenate([node_features(nodes) for nodes in parsed]))
         at = 0
         for nodes in parsed:
             label = decode(nodes, margins[at : at + len(nodes)])
