@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillstream.llm import (
-    decontamination, exact_dedup, html_text, language, line_dedup, near_dedup, packing, quality, sql, url_filter, warc,
+    byte_bpe, decontamination, exact_dedup, fill_in_middle, html_text, importance, language, line_dedup, near_dedup, packing,
+    quality, sql, url_filter, warc,
 )
 from tillstream.llm.base import table
 from tillstream.plans.registry import Registry
@@ -14,10 +15,10 @@ from tillstream.session import tune
 registry = Registry()
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @registry.query()
@@ -85,3 +86,29 @@ def op9_packing(spark, folder):
 def op10_warc(spark, folder):
     """Pages after a way through ARC and WARC files."""
     return warc.archived(table(tune(spark), folder, "pages")).drop("record_id")
+
+
+@registry.query(sql.FILL_IN_MIDDLE)
+def op11_fill_in_middle(spark, folder):
+    """Form, cuts and digests of every text after its middle went to the end, and of the text restored from that."""
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(table(tune(spark), folder, "documents")))
+
+
+@registry.query()
+def op12_byte_bpe(spark, folder):
+    """Number and digest of every text's tokens, and the digest of what they decode to."""
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    rows = byte_bpe.decoded(byte_bpe.encoded(table(tune(spark), folder, "documents"), path), path)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@registry.query()
+def op13_importance(spark, folder):
+    """Weight, score and rank of every document in a sample that follows the benchmark's n-grams."""
+    tune(spark)
+    return importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("n_words")

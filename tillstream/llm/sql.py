@@ -88,3 +88,27 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes < 100 OR first = page_id THEN NULL ELSE first END AS refers_to
 FROM firsts
 """
+
+_UNITS = "regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+')"
+
+FILL_IN_MIDDLE = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, {_UNITS} AS units, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), numbers AS (
+  SELECT *, len(units) AS n, list_transform(range(4), lambda i: CAST('0x' || substr(h, CAST(8 * i + 1 AS BIGINT), 8) AS BIGINT)) AS hs FROM docs
+), cuts AS (
+  SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS a, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 50
+              THEN 'plain' WHEN hs[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+), parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix
+  FROM cuts
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                        ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
