@@ -8,8 +8,8 @@ reachable by composition are few, so a function is a small number and composing
 associative: texts are laid out in blocks, all blocks are scanned at once, the blocks' totals are scanned the same way,
 and every character gets its state. A text longer than `SEGMENT` is scanned in segments, the state being carried over.
 
-The pieces are merged by rank, lowest first and leftmost of equals, through a cache of bounded size; long pieces use a
-heap, so that their time is n log n. Start offsets of the tokens in the text's bytes are kept; decoding places each token's
+The pieces are merged by rank, lowest first and leftmost of equals, through a cache of bounded size: new short pieces
+side by side in arrays, long ones each with a heap, so that their time is n log n. Start offsets of the tokens in the text's bytes are kept; decoding places each token's
 bytes at its offset.
 
 Rows are worked on by themselves: no shuffle; a lost task is repeated from the input.
@@ -23,11 +23,11 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import heapq
 import itertools
-import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,8 +38,8 @@ from tillstream.llm.base import filled
 
 SEGMENT = 1 << 20
 CACHED_PIECES = 500_000
-CACHED_BYTES = 64  # longer pieces are rare and are not kept
-LONG_PIECE = 128
+SHORT_PIECE = 48  # bytes; longer pieces are rare, they are merged one by one and not kept
+TOGETHER = 2048  # pieces that are merged side by side
 BLOCK = 256
 
 # Classes of characters.
@@ -175,19 +175,16 @@ def piece_starts(text: str, segment: int = SEGMENT) -> np.ndarray:
     return np.concatenate([*found, [at]]).astype(np.int64)
 
 
-class _Pieces(dict):
-    """Ids of pieces met so far, as little-endian 32-bit bytes; a full one is emptied. Long pieces are not kept."""
-
-    def __init__(self, merge) -> None:
-        self.merge = merge
-
-    def __missing__(self, piece: bytes) -> bytes:
-        ids = struct.pack(f"<{len(found := self.merge(piece))}i", *found)
-        if len(piece) <= CACHED_BYTES:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
+def _by_pair(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted pairs of tokens (first times size plus second) that make a token, and its rank."""
+    size, pairs = max(ranks.values()) + 1, {}
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            first, second = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if first is not None and second is not None:
+                pairs[first * size + second] = rank
+    keys = np.array(sorted(pairs), np.int64)
+    return keys, np.array([pairs[key] for key in keys.tolist()], np.int32)
 
 
 class Vocabulary:
@@ -197,38 +194,74 @@ class Vocabulary:
         with open(path, "rb") as lines:
             pairs = [line.split() for line in lines if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.pieces = _Pieces(self.merged)
+        self.pieces: dict[bytes, bytes] = {}  # ids of pieces met so far, as little-endian 32-bit numbers
         tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             tokens[rank] = token
         self.widths = np.array([len(token) for token in tokens], np.int64)
         self.places = np.cumsum(self.widths) - self.widths
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.of_byte = np.array([self.ranks[bytes([byte])] for byte in range(256)], np.int32)
+        self.pairs, self.merged_rank = _by_pair(self.ranks)
+
+    def _rank_of(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of tokens, the number of tokens where they make none; -1 is no token."""
+        none = len(self.widths)
+        keys = first.astype(np.int64) * none + second
+        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        fits = (self.pairs[at] == keys) & (first >= 0) & (second >= 0)
+        return np.where(fits, self.merged_rank[at], none).astype(np.int32)
+
+    def _merge_together(self, pieces: list[bytes]) -> None:
+        """Ids of many short pieces: in every round each piece joins its pair of lowest rank, leftmost of equals."""
+        none, sizes = len(self.widths), np.array([len(piece) for piece in pieces])
+        widest = int(sizes.max()) + 1
+        tokens = np.full((len(pieces), widest), -1, np.int32)
+        inside = np.arange(widest) < sizes[:, None]
+        tokens[inside] = self.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        ranks = self._rank_of(tokens[:, :-1], tokens[:, 1:])
+        left, columns = np.arange(len(pieces)), np.arange(widest - 1)
+        while len(left):
+            at = ranks.argmin(1)
+            rows = np.arange(len(left))
+            least = ranks[rows, at]
+            done = least == none
+            if done.any():
+                ended = tokens[done]
+                data, ends = ended[ended >= 0].astype("<i4").tobytes(), 4 * np.cumsum((ended >= 0).sum(1))
+                for nr, start, end in zip(left[done].tolist(), [0, *ends.tolist()], ends.tolist()):
+                    self.pieces[pieces[nr]] = data[start:end]
+                left, tokens, ranks, at, least = left[~done], tokens[~done], ranks[~done], at[~done], least[~done]
+                rows = np.arange(len(left))
+            if not len(left):
+                return
+            tokens[rows, at] = least
+            behind = columns[None, :] > at[:, None]
+            tokens[:, :-1] = np.where(behind, tokens[:, 1:], tokens[:, :-1])
+            tokens[:, -1] = -1
+            ranks[:, :-1] = np.where(behind[:, 1:], ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = none
+            ranks[rows, at] = self._rank_of(tokens[rows, at], tokens[rows, at + 1])
+            before = np.maximum(at - 1, 0)
+            ranks[rows, before] = np.where(at > 0, self._rank_of(tokens[rows, before], tokens[rows, at]), ranks[rows, before])
+
+    def _learn(self, pieces: set[bytes]) -> dict[bytes, bytes]:
+        """Makes all the pieces known, but for long ones, whose ids are returned."""
+        missing = pieces.difference(self.pieces)
+        if len(self.pieces) + len(missing) > CACHED_PIECES:
+            self.pieces.clear()
+            missing = pieces
+        short = sorted((piece for piece in missing if len(piece) <= SHORT_PIECE), key=len)
+        for first in range(0, len(short), TOGETHER):
+            self._merge_together(short[first : first + TOGETHER])
+        long = (piece for piece in missing if len(piece) > SHORT_PIECE)
+        return {piece: np.array(self.merged(piece), "<i4").tobytes() for piece in long}
 
     def merged(self, piece: bytes) -> list[int]:
-        """Ids of a piece."""
-        if (whole := self.ranks.get(piece)) is not None:
-            return [whole]
-        cuts = self._cuts_of_long(piece) if len(piece) >= LONG_PIECE else self._cuts(piece)
-        return [self.ranks[piece[a:b]] for a, b in itertools.pairwise(cuts)]
-
-    def _cuts(self, piece: bytes) -> list[int]:
-        """Borders of the tokens: the pair of lowest rank, leftmost of equals, is joined until none has a rank."""
-        rank, none = self.ranks.get, len(self.widths)
-        cuts = list(range(len(piece) + 1))
-        pairs = [rank(piece[i : i + 2], none) for i in range(len(piece) - 1)]
-        while pairs and (least := min(pairs)) < none:
-            i = pairs.index(least)
-            del cuts[i + 1], pairs[i]
-            if i < len(pairs):
-                pairs[i] = rank(piece[cuts[i] : cuts[i + 2]], none)
-            if i:
-                pairs[i - 1] = rank(piece[cuts[i - 1] : cuts[i + 1]], none)
-        return cuts
-
-    def _cuts_of_long(self, piece: bytes) -> list[int]:
-        """The same by a heap of pairs over linked tokens."""
+        """Ids of one piece of any length: a heap of pairs over linked tokens."""
         rank, n = self.ranks.get, len(piece)
+        if (whole := rank(piece)) is not None:
+            return [whole]
         after, before = list(range(1, n + 2)), list(range(-1, n))  # borders of the tokens, linked
         alive = bytearray(b"\1") * (n + 1)
         heap = []
@@ -250,23 +283,30 @@ class Vocabulary:
                 offer(start)
             if start:
                 offer(before[start])
-        return [i for i in range(n + 1) if alive[i]]
-
-    def encode(self, text: str, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a text and the byte offset at which each token begins."""
-        data = text.encode()
-        borders = (piece_starts(text) if starts is None else starts).tolist()
-        pieces = map(data.__getitem__, map(slice, borders, borders[1:]))
-        ids = np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), "<i4")
+        borders = [i for i in range(n + 1) if alive[i]]
+        return [self.ranks[piece[a:b]] for a, b in itertools.pairwise(borders)]
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each text its ids and the byte offset at which each token begins."""
+        data = "".join(texts).encode()
+        borders = all_starts(texts).tolist()
+        pieces = list(map(data.__getitem__, map(slice, borders, borders[1:])))
+        long = self._learn(set(pieces))
+        known = self.pieces.__getitem__ if not long else (self.pieces | long).__getitem__
+        ids = np.frombuffer(b"".join(map(known, pieces)), "<i4")
         ends = np.cumsum(self.widths[ids])
-        return ids, ends - self.widths[ids]
+        offsets = ends - self.widths[ids]
+        sizes = [len(text) if text.isascii() else len(text.encode()) for text in texts]
+        bounds = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))])
+        cuts = np.searchsorted(offsets, bounds).tolist()
+        return [(ids[a:b], (offsets[a:b] - start).astype(np.int32)) for a, b, start in zip(cuts, cuts[1:], bounds.tolist())]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> bytes:
         """The bytes of the tokens, each placed at its offset from the first one's."""
         if not len(ids):
             return b""
         widths = self.widths[ids]
-        placed = offsets - offsets[0]
+        placed = offsets.astype(np.int64) - int(offsets[0])
         whole = np.zeros(int(placed[-1] + widths[-1]), np.uint8)
         inside = np.arange(widths.sum()) - np.repeat(np.cumsum(widths) - widths, widths)
         whole[np.repeat(placed, widths) + inside] = self.bytes[np.repeat(self.places[ids], widths) + inside]
@@ -279,60 +319,55 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _batches(texts: list[str]) -> Iterator[list[str]]:
-    """Texts that together are about one segment long; longer ones alone."""
-    some, size = [], 0
-    for text in texts:
-        if some and size + len(text) > SEGMENT:
-            yield some
-            some, size = [], 0
-        some.append(text)
-        size += len(text) + 1
-    if some:
-        yield some
-
-
-def _all_starts(texts: list[str]) -> Iterator[np.ndarray]:
-    """`piece_starts` of each text; short ones are scanned together, with an edge between them."""
+def all_starts(texts: list[str]) -> np.ndarray:
+    """Where pieces begin in the texts' joined bytes, and their length at the end; short texts are scanned with an edge between."""
     if len(texts) == 1:
-        yield piece_starts(texts[0])
-        return
+        return piece_starts(texts[0])
     points = np.frombuffer(" ".join(texts).encode("utf-32-le"), "<u4")
-    lengths = np.array([len(text) for text in texts])
-    edges = np.cumsum(lengths + 1)[:-1] - 1
-    kinds = _classes(points, None)
-    # white space before an edge ends its text, it is followed by nothing; an edge is a blank, so it is taken so already
+    edges = np.cumsum([len(text) + 1 for text in texts])[:-1] - 1
+    kinds = _classes(points, None)  # an edge is a blank here, so that white space before it has nothing behind
     kinds[edges] = EDGE
     begins, _ = _begins(kinds, NOTHING)
     begins[edges] = False
     widths = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
     widths[edges] = 0
-    offsets = np.concatenate([[0], np.cumsum(widths)])
-    found = np.flatnonzero(begins)
-    first = np.concatenate([[0], edges + 1])
-    bounds = np.searchsorted(found, [*first, len(points)])
-    for nr, start in enumerate(first):
-        inside = offsets[found[bounds[nr] : bounds[nr + 1]]] - offsets[start]
-        yield np.append(inside, offsets[start + lengths[nr]] - offsets[start])
+    ends = np.cumsum(widths)
+    return np.append((ends - widths)[begins], ends[-1] if len(ends) else 0)
+
+
+def _groups(part: pd.DataFrame) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of rows whose texts together are about one segment long; longer ones alone."""
+    ids, texts, size = [], [], 0
+    for doc_id, text in zip(part["doc_id"].array, part["text"]):
+        text = text.decode(errors="replace")
+        if texts and size + len(text) > SEGMENT:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+        ids.append(doc_id)
+        texts.append(text)
+        size += len(text) + 1
+    if texts:
+        yield ids, texts
 
 
-def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """One row per document: doc_id, ids, offsets (of each token's first byte in the text)."""
+def _encoded(docs: DataFrame, path: str, schema: str, rows_of: Callable) -> DataFrame:
+    """`rows_of(vocabulary, ids, offsets)` of each document's tokens, after its id."""
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = vocabulary(path)
         for part in parts:
-            texts, at = [text.decode(errors="replace") for text in part["text"]], 0
-            for some in _batches(texts):
-                both = [words.encode(text, starts) for text, starts in zip(some, _all_starts(some))]
-                ids, offsets = ([pair[i] for pair in both] for i in range(2))
-                yield pd.DataFrame({"doc_id": part["doc_id"].array[at : at + len(some)], "ids": ids, "offsets": offsets}).astype(
-                    {"doc_id": "Int64"}
-                )
-                at += len(some)
+            for doc_ids, texts in _groups(part):
+                found = [(i, *rows_of(words, *tokens)) for i, tokens in zip(doc_ids, words.encode(texts))]
+                yield pd.DataFrame(found, columns=names).astype({"doc_id": "Int64"})
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), filled(F.col("text")).cast("binary").alias("text"))
-    return rows.mapInPandas(encode, "doc_id bigint, ids array<int>, offsets array<bigint>")
+    return rows.mapInPandas(encode, schema)
+
+
+def encoded(docs: DataFrame, path: str) -> DataFrame:
+    """One row per document: doc_id, ids, offsets (of each token's first byte in the text)."""
+    return _encoded(docs, path, "doc_id bigint, ids array<int>, offsets array<int>", lambda words, ids, offsets: (ids, offsets))
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
@@ -344,4 +379,14 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
             part["decoded"] = [words.decode(ids, offsets) for ids, offsets in zip(part["ids"], part["offsets"])]
             yield part.astype({"doc_id": "Int64"})
 
-    return rows.mapInPandas(decode, "doc_id bigint, ids array<int>, offsets array<bigint>, decoded binary")
+    return rows.mapInPandas(decode, "doc_id bigint, ids array<int>, offsets array<int>, decoded binary")
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """Encodes and decodes in one pass: doc_id, n_tokens, the sha256 of the ids (decimal, joined by commas) and of the decoded bytes."""
+
+    def digests(words: Vocabulary, ids: np.ndarray, offsets: np.ndarray) -> tuple[int, str, str]:
+        listed = ",".join(map(str, ids.tolist())).encode()
+        return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(words.decode(ids, offsets)).hexdigest()
+
+    return _encoded(docs, path, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", digests)

@@ -98,13 +98,7 @@ def op11_fill_in_middle(spark, folder):
 def op12_byte_bpe(spark, folder):
     """Number and digest of every text's tokens, and the digest of what they decode to."""
     path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
-    rows = byte_bpe.decoded(byte_bpe.encoded(table(tune(spark), folder, "documents"), path), path)
-    return rows.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return byte_bpe.round_trip(table(tune(spark), folder, "documents"), path)
 
 
 @registry.query()
