@@ -95,32 +95,57 @@ def test_exact_whole_rows(spark, hard, empty, tmp_path):
 # line deduplication -----------------------------------------------------------------------------
 
 
-def lines_by_hand(texts, least):
+BREAKS = {"sentence": r"\n|(?<=[.!?])[ \t]+", "line": r"\n"}
+
+
+def repeats_by_hand(texts, unit, least):
     seen, out = set(), []
     for i, text in texts:
-        kept, removed, at = [], [], 0
-        for line in (text or "").split("\n"):
-            words = line.encode().lower().split()
-            if len(words) >= least and b" ".join(words) in seen:
-                removed.append((at, len(line)))
+        units, at = [], 0
+        for nr, piece in enumerate(re.split(f"((?:{BREAKS[unit]}))", text or "")):
+            if nr % 2:  # a break
+                units[-1][1] += piece
             else:
-                kept.append(line + "\n")
-                if len(words) >= least:
-                    seen.add(b" ".join(words))
-            at += len(line) + 1
-        joined = "".join(kept)
-        last_removed = removed and removed[-1][0] + removed[-1][1] == len(text or "")
-        out.append((i, joined if last_removed else joined[:-1], removed))
+                units.append([at, piece, False])
+            at += len(piece)
+        run = []
+        for one in [*units, None]:
+            words = one and one[1].encode().lower().split()
+            if one and not words:
+                continue
+            if one and b" ".join(words) in seen:
+                run.append((one, len(words)))
+                continue
+            if sum(n for _, n in run) >= least:
+                for removed, _ in run:
+                    removed[2] = True
+            run = []
+            if one:
+                seen.add(b" ".join(words))
+        kept = "".join(piece for _, piece, gone in units if not gone)
+        out.append((i, kept, [(start, len(piece)) for start, piece, gone in units if gone]))
     return out
 
 
-def test_lines_against_brute_force(spark):
-    rng = random.Random(3)
-    pool = [" ".join(rng.choice(["Aa", "bb", "cc", "dé"]) for _ in range(rng.randrange(1, 5))) for _ in range(30)]
-    texts = [(i, "\n".join(rng.choice(pool) + rng.choice(["", " ", "\t"]) for _ in range(rng.randrange(0, 9)))) for i in range(120)]
-    found = line_dedup.without_repeats(documents(spark, *texts), least_words=3).collect()
+@pytest.mark.parametrize(("unit", "least"), [("sentence", 1), ("sentence", 6), ("sentence", 12), ("line", 1), ("line", 7)])
+def test_repeats_against_brute_force(spark, unit, least):
+    rng = random.Random(least)
+    pool = [" ".join(rng.choice(["Aa", "bb", "cc", "dé", "3.5"]) for _ in range(rng.randrange(1, 5))) for _ in range(40)]
+    ends = [".", "! ", ".  ", "?\t", "\n", ".\n", "\n\n", " ", ". \n", "..."]
+    texts = [(i, "".join(rng.choice(pool) + rng.choice(ends) for _ in range(rng.randrange(0, 14)))) for i in range(150)]
+    found = line_dedup.without_repeats(documents(spark, *texts), unit, least).collect()
     mine = {r.doc_id: (r.text, [tuple(s) for s in r.removed], r.n_removed) for r in found}
-    assert mine == {i: (t, r, len(r)) for i, t, r in lines_by_hand(texts, 3)}
+    expected = {i: (t, r, len(r)) for i, t, r in repeats_by_hand(texts, unit, least)}
+    assert mine == expected and any(r for _, r, _ in expected.values())
+
+
+def test_a_passage_inside_other_sentences_goes(spark):
+    passage = "Alpha beta gamma delta epsilon. Zeta eta theta iota kappa lambda mu nu. Xi omicron pi rho sigma tau upsilon phi chi psi. "
+    docs = documents(spark, (1, f"Here {passage}and on."), (2, f"There is more {passage}than that. Alone."), (3, "And on. Alone. Far away."))
+    found = {r.doc_id: r.text for r in line_dedup.without_repeats(docs, least_run=15).collect()}
+    assert found[1] == f"Here {passage}and on."
+    assert found[2] == "There is more Alpha beta gamma delta epsilon. than that. Alone."
+    assert found[3] == "And on. Alone. Far away."  # repeated units of three words together are no passage
 
 
 def test_lines_of_hard_rows(spark, hard, empty):
@@ -132,9 +157,9 @@ def test_lines_of_hard_rows(spark, hard, empty):
 
 def test_repeated_paragraphs(spark):
     docs = documents(spark, (1, "one two three four five\n\nsix"), (2, "zero\n\nOne two  three four five\n\nend"))
-    found = {r.doc_id: (r.text, [tuple(s) for s in r.removed]) for r in line_dedup.without_repeats(docs, "paragraph").collect()}
+    found = {r.doc_id: (r.text, [tuple(s) for s in r.removed]) for r in line_dedup.without_repeats(docs, "paragraph", 5).collect()}
     assert found[1] == ("one two three four five\n\nsix", [])
-    assert found[2][1] == [(6, 24)] and "three" not in found[2][0]
+    assert found[2][1] == [(6, 26)] and "three" not in found[2][0]
 
 
 # near duplicates --------------------------------------------------------------------------------

@@ -1,16 +1,17 @@
-"""Line deduplication: equal lines across all documents are removed but for their first occurrence.
+"""Line deduplication: passages that an earlier place has already are removed, in units of lines or of their sentences.
 
-A text is cut into units (lines, or paragraphs parted by blank lines). A unit is normalised (A-Z lower,
-white space to single spaces) and hashed. Per digest the earliest occurrence in the order (doc_id, text
-hash, position) stays; all others are removed from their texts, with their original offsets reported.
+A text is cut into units: sentences inside lines, whole lines, or paragraphs. Every unit is compared, whatever its length.
+It is normalised (A-Z lower, white space to single spaces) and hashed. Per digest the earliest occurrence in the order (doc_id, text
+hash, position) is the one that stays; all others are later ones. Later units that follow each other in a text are a run; runs of
+at least `least_run` words are removed, with their original offsets reported, shorter ones stay: a few sentences alone are equal by
+chance or are quoted. Units without words neither belong to a run nor end one.
 
-Digests are summed in each task before the shuffle, so a line that a third of the documents hold sends one
-row per task; the join back to occurrences splits it (skew join). Units with fewer words than `least_words`
-are kept and not compared: short lines are equal by chance.
+Digests are counted in each task before the shuffle, so a line that a third of the documents hold sends one row per task; the
+join back to occurrences splits it (skew join). Runs are made of a text's own later units only.
 
-Defined cases: null text counts as empty, which has no units; rows that repeat an id and its text are one
-document and get the same result each; a unit repeated inside a document is removed there too; null ids
-come first; an empty table gives an empty result; columns of any other name are ignored.
+Defined cases: null text counts as empty, which has no units; rows that repeat an id and its text are one document and get the
+same result each; a unit repeated inside a document is a later one there too; null ids come first; an empty table gives an empty
+result; columns of any other name are ignored.
 """
 
 from __future__ import annotations
@@ -20,38 +21,45 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm.base import filled
 
-LEAST_WORDS = 5
-_BREAK = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n")}
-_UNIT = "doc_id bigint, text_key bigint, at int, start int, length int, digest binary"
+LEAST_RUN = 25  # words: half of a passage of fifty, whose first and last sentence often belong to the text around it
+_BREAK = {
+    "sentence": re.compile(r"\n|(?<=[.!?])[ \t]+"),
+    "line": re.compile(r"\n"),
+    "paragraph": re.compile(r"\n[ \t\r]*\n"),
+}
+_UNIT = "doc_id bigint, text_key bigint, at int, start int, length int, words int, digest binary"
 
 
 def _units(text: str, unit: str) -> Iterator[tuple[int, int]]:
-    """(start, end) of each unit, in characters."""
+    """(start, end) of each unit with the break after it, in characters; together they are the text."""
     start = 0
     for found in _BREAK[unit].finditer(text):
-        yield start, found.start()
+        yield start, found.end()
         start = found.end()
-    yield start, len(text)
+    if start < len(text):
+        yield start, len(text)
 
 
-def units(docs: DataFrame, unit: str = "line", least_words: int = LEAST_WORDS) -> DataFrame:
-    """The units that are compared, with position, offset and digest."""
+def units(docs: DataFrame, unit: str = "sentence") -> DataFrame:
+    """The units that have words, numbered in each text, with offset, words and digest."""
+    columns = [field.split()[0] for field in _UNIT.split(", ")]
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             found = []
             for doc_id, key, text in zip(part["doc_id"], part["text_key"], part["text"]):
-                for at, (start, end) in enumerate(_units(text, unit)):
+                at = 0
+                for start, end in _units(text, unit):
                     words = text[start:end].encode().lower().split()  # bytes: only A-Z and ASCII white space
-                    if len(words) >= least_words:
+                    if words:
                         digest = xxhash.xxh3_128_digest(b" ".join(words))
-                        found.append((doc_id, key, at, start, end - start, digest))
-            columns = ["doc_id", "text_key", "at", "start", "length", "digest"]
+                        found.append((doc_id, key, at, start, end - start, len(words), digest))
+                        at += 1
             yield pd.DataFrame(found, columns=columns).astype({"doc_id": "Int64"})
 
     return _keyed(docs).mapInPandas(cut, _UNIT)
@@ -62,16 +70,28 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
-def without_repeats(docs: DataFrame, unit: str = "line", least_words: int = LEAST_WORDS) -> DataFrame:
-    """One row per document: doc_id, text without the removed units, n_removed, removed (start and length of each)."""
-    found = units(docs, unit, least_words)
+def later_units(found: DataFrame) -> DataFrame:
+    """Units that an earlier place has, one row per place."""
     where = F.struct("doc_id", "text_key", "at")
-    first = found.groupBy("digest").agg(F.min(where).alias("first"), F.max(where).alias("last"))
-    repeated = first.where(F.col("first") != F.col("last")).select("digest", "first")
+    first = found.groupBy("digest").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n"))
+    repeated = first.where("n > 1").select("digest", "first")
     later = found.join(repeated, "digest").where(where != F.col("first"))
-    removed = later.groupBy("doc_id", "text_key").agg(
-        F.array_sort(F.collect_set(F.struct("start", "length"))).alias("removed")
-    )
+    once = [F.min(name).alias(name) for name in ("start", "length", "words")]
+    return later.groupBy("doc_id", "text_key", "at").agg(*once)
+
+
+def removed_units(later: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
+    """Per text the start and length of its later units that lie in runs of enough words."""
+    text = ["doc_id", "text_key"]
+    run = F.col("at") - F.row_number().over(Window.partitionBy(*text).orderBy("at"))
+    together = later.withColumn("run", run).withColumn("run_words", F.sum("words").over(Window.partitionBy(*text, "run")))
+    spans = F.array_sort(F.collect_list(F.struct("start", "length")))
+    return together.where(F.col("run_words") >= least_run).groupBy(*text).agg(spans.alias("removed"))
+
+
+def without_repeats(docs: DataFrame, unit: str = "sentence", least_run: int = LEAST_RUN) -> DataFrame:
+    """One row per document: doc_id, text without the removed units, n_removed, removed (start and length of each)."""
+    removed = removed_units(later_units(units(docs, unit)), least_run)
     rows, removed = _keyed(docs).alias("d"), removed.alias("r")
     same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.text_key") == F.col("r.text_key"))
     spans = F.coalesce(F.col("r.removed"), F.array().cast("array<struct<start: int, length: int>>"))
@@ -82,13 +102,13 @@ def without_repeats(docs: DataFrame, unit: str = "line", least_words: int = LEAS
 
 
 def _without(text: Column, removed: Column) -> Column:
-    """The text between the removed spans; the break after a span goes with it."""
+    """The text between the removed spans."""
 
     def between(i: Column) -> Column:
         last = F.get(removed, i - 1)
-        begin = F.coalesce(last["start"] + last["length"] + 2, F.lit(1))  # one for the break, one as substr counts from 1
+        begin = F.coalesce(last["start"] + last["length"], F.lit(0))
         end = F.coalesce(F.get(removed, i)["start"], F.char_length(text))
-        return text.substr(begin, F.greatest(end - begin + 1, F.lit(0)))
+        return text.substr(begin + 1, end - begin)
 
     pieces = F.transform(F.sequence(F.lit(0), F.size(removed)), between)
     return F.when(removed.isNull(), text).otherwise(F.array_join(pieces, ""))

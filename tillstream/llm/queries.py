@@ -54,7 +54,7 @@ def op5_exact_dedup(spark, folder):
 
 @registry.query(sql.LINE_DEDUP)
 def op6_line_dedup(spark, folder):
-    """Texts without lines that an earlier document or line has, and where the removed lines were."""
+    """Texts without the passages that an earlier place has, and where the removed units were."""
     rows = line_dedup.without_repeats(table(tune(spark), folder, "documents"))
     spans = F.transform("removed", lambda span: F.concat(span["start"].cast("string"), F.lit("+"), span["length"].cast("string")))
     return rows.select(

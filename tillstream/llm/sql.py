@@ -32,22 +32,31 @@ FROM docs WINDOW same AS (PARTITION BY text_sha256)
 """
 
 LINE_DEDUP = f"""
-WITH lines AS (
-  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts, unnest(range(1, len(parts) + 1)) AS nr FROM documents
+WITH tiles AS (
+  SELECT doc_id, list_filter(regexp_extract_all(coalesce(text, ''),
+           '(?:[^\\n.!?]+|[.!?]+[^\\n.!? \\t])*(?:[.!?]+[ \\t]+|[.!?]*\\n|[.!?]*\\z)'), lambda t: t <> '') AS parts
+  FROM documents
 ), units AS (
-  SELECT doc_id, nr, parts[nr] AS line, coalesce(list_sum(list_transform(parts[1:nr - 1], lambda p: length(p) + 1)), 0) AS start,
+  SELECT doc_id, nr, parts[nr] AS unit, coalesce(list_sum(list_transform(parts[1:nr - 1], lambda p: length(p))), 0) AS start,
          trim(regexp_replace({_ASCII_LOWER.format('parts[nr]')}, '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS normal
-  FROM lines
+  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS nr FROM tiles)
 ), ranked AS (
-  SELECT *, len(string_split(normal, ' ')) >= 5
-         AND row_number() OVER (PARTITION BY normal ORDER BY doc_id, nr) > 1 AS later
-  FROM units
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY nr) AS place, len(string_split(normal, ' ')) AS words,
+         row_number() OVER (PARTITION BY normal ORDER BY doc_id, nr) > 1 AS later
+  FROM units WHERE normal <> ''
+), runs AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS run_words
+  FROM (SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM ranked WHERE later)
+), removed AS (SELECT doc_id, nr, true AS gone FROM runs WHERE run_words >= 25),
+marked AS (SELECT doc_id, nr, unit, start, coalesce(gone, false) AS gone FROM units LEFT JOIN removed USING (doc_id, nr)),
+changed AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+         string_agg(start::BIGINT || '+' || length(unit), ',' ORDER BY nr) FILTER (gone) AS removed,
+         string_agg(unit, '' ORDER BY nr) FILTER (NOT gone) AS text
+  FROM marked GROUP BY doc_id
 )
-SELECT doc_id, count(*) FILTER (later) AS n_removed,
-       coalesce(string_agg(start::BIGINT || '+' || length(line), ',' ORDER BY nr) FILTER (later), '') AS removed,
-       coalesce(string_agg(line, chr(10) ORDER BY nr) FILTER (NOT later), '')
-         || CASE WHEN count(*) FILTER (NOT later) > 0 AND arg_max(later, nr) THEN chr(10) ELSE '' END AS text
-FROM ranked GROUP BY doc_id
+SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, coalesce(c.text, '') AS text
+FROM documents d LEFT JOIN changed c USING (doc_id)
 """
 
 _WORDS = f"list_filter(regexp_split_to_array({_NORMAL}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
