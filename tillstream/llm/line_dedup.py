@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.base import filled
+from tillstream.llm.base import filled, written
 
 LEAST_RUN = 25  # words: half of a passage of fifty, whose first and last sentence often belong to the text around it
 _BREAK = {
@@ -74,7 +74,8 @@ def later_units(found: DataFrame) -> DataFrame:
     """Units that an earlier place has, one row per place."""
     where = F.struct("doc_id", "text_key", "at")
     first = found.groupBy("digest").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n"))
-    repeated = first.where("n > 1").select("digest", "first")
+    # written, so that the join reads two plain shuffles, whose heavy digests Spark splits
+    repeated = written(first.where("n > 1").select("digest", "first"), "repeated-units")
     later = found.join(repeated, "digest").where(where != F.col("first"))
     once = [F.min(name).alias(name) for name in ("start", "length", "words")]
     return later.groupBy("doc_id", "text_key", "at").agg(*once)
