@@ -82,7 +82,52 @@ def test_repeated_batch_keeps_first_flags(spark, rows):
         results.append(rows(flagged.select("id", "if_first_order")))
         warehouse.user_status.upsert(status_updates(flagged), 0)
     assert results == [[(1, "1"), (2, "0")]] * 2
-    assert rows(warehouse.user_status.read(spark)) == [("7", "1")]
+    assert rows(warehouse.user_status.read(spark)) == [("7", "1", 1)]
+
+
+def test_a_later_delivery_keeps_the_first_flag(spark, rows, warehouse):
+    """The same order in a second batch, with a new one of the same user and one of no user."""
+    order = {"id": 1, "user_id": 7, "create_time": "2024-01-01 10:00:00"}
+    for number, more in enumerate(({"id": 3, "user_id": 8}, {"id": 2, "user_id": 7}, {"id": 4})):
+        send(warehouse, "ods_order_info", number, order, {"create_time": "2024-01-01 09:00:00", **more})
+        warehouse.orders().awaitTermination()
+    found = warehouse.order_index.read(spark).select("id", "if_first_order")
+    assert rows(found) == [(1, "1"), (2, "0"), (3, "1"), (4, "0")]
+
+
+def test_an_upsert_without_rows_is_counted(spark, rows, warehouse):
+    """Into a table with folders by day, when all rows fall away as the plan runs."""
+    device = spark.createDataFrame([("m", "2024-01-01", 1)], "mid string, dt string, ts bigint")
+    for name in warehouse.device_index.schema.fieldNames():
+        if name not in device.columns:
+            device = device.withColumn(name, F.lit(None).cast("string"))
+    assert warehouse.device_index.upsert(device, 0) == 1
+    known = warehouse.device_index.read(spark).select("dt", "mid")
+    assert warehouse.device_index.upsert(device.join(known, ["dt", "mid"], "left_anti"), 1) == 0
+    assert rows(warehouse.device_index.read(spark).select("mid", "dt")) == [("m", "2024-01-01")]
+
+
+def test_a_run_from_the_beginning_counts_twice(spark):
+    """What `stream_resume` shows depends on the start position."""
+    amounts = lambda from_ledger: stream_runs._brand_sums(spark, stream_runs._resumed(spark, SMALL, from_ledger)).agg(F.sum("amount")).first()[0]
+    assert amounts(False) > 1.4 * amounts(True)
+
+
+def test_start_positions_of_file_topics(spark, rows, warehouse):
+    send(warehouse, "t", 0, {"n": 0}, {"n": 1})
+    send(warehouse, "t", 1, {"n": 2})
+    offsets = {json.loads(r.value)["n"]: r.offset for r in spark.read.parquet(warehouse.topics.root).collect()}
+    assert offsets[0] < offsets[1] < offsets[2]
+
+    def seen(start):
+        found = []
+        stream = warehouse.topics.read(spark, "t", start=start)
+        work = lambda batch, n: found.extend(json.loads(r.value)["n"] for r in batch.collect())
+        each_batch(stream, work, workspace(spark, "checkpoint"), drain=True).awaitTermination()
+        return sorted(found)
+
+    assert seen("earliest") == [0, 1, 2] and seen("latest") == []
+    assert seen(json.dumps({"t": {"0": offsets[1]}})) == [1, 2] and seen(json.dumps({"t": {"1": 5, "0": -2}})) == [0, 1, 2]
 
 
 def test_dedup_within_drops_copies_of_later_batches(spark, rows):

@@ -8,12 +8,20 @@ from tillstream.operators.keyed import first_per_key
 
 
 def first_orders(orders: DataFrame, status: DataFrame | None = None) -> DataFrame:
-    """Earliest order (`user_id`, `id`) of every user without an entry in `status`; ties go to the lower id."""
-    earliest = first_per_key(orders.select("user_id", "create_time", "id"), ["user_id"], ["create_time", "id"])
-    if status is not None:
-        known = status.select(F.col("user_id").cast("bigint").alias("user_id"))
-        earliest = earliest.join(known, "user_id", "left_anti")
-    return earliest.select("user_id", "id")
+    """Earliest order (`user_id`, `id`) of every user without an entry in `status`; ties go to the lower id.
+
+    An order without a user is nobody's first. Where `status` names the order that was a user's first, that order
+    is it again, so that a second delivery keeps its flag.
+    """
+    placed = orders.select("user_id", "create_time", "id").where("user_id IS NOT NULL")
+    earliest = first_per_key(placed, ["user_id"], ["create_time", "id"]).select("user_id", "id")
+    if status is None:
+        return earliest
+    user = F.col("user_id").cast("bigint").alias("user_id")
+    first = earliest.join(status.select(user), "user_id", "left_anti")
+    if "order_id" in status.columns:
+        first = first.unionByName(status.where("order_id IS NOT NULL").select(user, F.col("order_id").cast("bigint").alias("id")))
+    return first
 
 
 def with_first_flag(orders: DataFrame, status: DataFrame | None = None) -> DataFrame:
@@ -29,7 +37,9 @@ def with_first_flag(orders: DataFrame, status: DataFrame | None = None) -> DataF
 
 
 def status_updates(flagged: DataFrame) -> DataFrame:
-    """Status rows (`user_id`, `if_consumed`) of the users whose first order is in the batch."""
+    """Status rows (`user_id`, `if_consumed`, `order_id`) of the users whose first order is in the batch."""
     return flagged.filter(F.col("if_first_order") == "1").select(
-        F.col("user_id").cast("string").alias("user_id"), F.lit("1").alias("if_consumed")
+        F.col("user_id").cast("string").alias("user_id"),
+        F.lit("1").alias("if_consumed"),
+        F.col("id").cast("bigint").alias("order_id"),
     )

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.functions.money import cents
 from tillstream.operators.dimensions import sku_records, user_records
-from tillstream.operators.keyed import first_per_key
 from tillstream.session import tune
 from tillstream.sources.tables import table
 
@@ -58,13 +57,6 @@ def in_home_province(records: DataFrame, customers: DataFrame) -> DataFrame:
     return records.join(home, "user_id", "left")
 
 
-def first_lines(lineitem: DataFrame, *columns: str) -> DataFrame:
-    """One line per (order, line number): the one with the lowest part, supplier and quantity."""
-    order = ["l_partkey", "l_suppkey", "l_quantity"]
-    wanted = ["l_orderkey", "l_linenumber", *order, *columns]
-    return first_per_key(lineitem.select(*wanted), ["l_orderkey", "l_linenumber"], order)
-
-
 def detail_records(lines: DataFrame, line_id=None, *others: str) -> DataFrame:
     """Lines as order_detail: one unit at the extended price."""
     return lines.select(
@@ -141,7 +133,7 @@ def payment_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Lines to allocate: payment from the order, original total from the sum of its lines."""
     amounts = lines.select(
         F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").cast("bigint").alias("line_id"),
+        unique_line_id().alias("line_id"),
         F.col("l_partkey").alias("sku_id"),
         cents(F.col("l_extendedprice")).alias("line_cents"),
     )

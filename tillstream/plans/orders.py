@@ -70,7 +70,7 @@ def order_first_flag_known_users(spark, folder):
 
 
 @registry.query(
-    f"SELECT CAST(user_id AS VARCHAR) AS user_id, '1' AS if_consumed FROM ({_LATER_SQL}) WHERE if_first_order = '1'"
+    f"SELECT CAST(user_id AS VARCHAR) AS user_id, '1' AS if_consumed, id AS order_id FROM ({_LATER_SQL}) WHERE if_first_order = '1'"
 )
 def new_users_in_batch(spark, folder):
     later, status = _two_batches(spark, folder)
@@ -119,20 +119,19 @@ def detail_with_sku(spark, folder):
 
 @registry.query(
     """
-    SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_id, amount AS line_cents,
-           CAST(sum(amount) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS BIGINT) AS running_cents
+    SELECT l_orderkey AS order_id, line_id, amount AS line_cents,
+           CAST(sum(amount) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, line_id) AS BIGINT) AS running_cents
     FROM (SELECT *, CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) * CAST(l_quantity AS BIGINT) AS amount,
-                 row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) AS rn
-          FROM lineitem)
-    WHERE rn = 1
-    """
+                 """
+    + inputs.UNIQUE_LINE_ID_SQL
+    + " AS line_id FROM lineitem)"
 )
 def order_running_sums(spark, folder):
     """Price times quantity, summed line by line within each order."""
-    lineitem = load(spark, folder, "lineitem")
-    lines = inputs.first_lines(lineitem, "l_extendedprice").select(
+    lines = load(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").cast("bigint").alias("line_id"),
+        "l_linenumber",
+        inputs.unique_line_id().alias("line_id"),
         line_amount(cents(F.col("l_extendedprice")), F.col("l_quantity").cast("bigint")).alias("line_cents"),
     )
-    return running_sums(lines, "order_id", ["line_id"], {"running_cents": "line_cents"})
+    return running_sums(lines, "order_id", ["l_linenumber", "line_id"], {"running_cents": "line_cents"}).drop("l_linenumber")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tillstream.operators.offsets import ledger_rows
 from tillstream.session import workspace
@@ -45,14 +45,22 @@ def staged(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
-def write_batch(rows: DataFrame, root: str, batch_id: int, partition_by: list[str] | None = None) -> bool:
-    """Write a batch as `root/batch_id=N`. False, and nothing done, when it is complete already."""
+def write_batch(
+    rows: DataFrame, root: str, batch_id: int, partition_by: list[str] | None = None, counted: Observation | None = None
+) -> bool:
+    """Write a batch as `root/batch_id=N`. False, and nothing done, when it is complete already.
+
+    `counted` gets the number of `rows`. It is taken above everything else: in a plan that turns out empty as it
+    runs, what lies below a rebalancing is left out, and a count there would never come.
+    """
     path = f"{root}/batch_id={batch_id}"
     if path_exists(rows.sparkSession, f"{path}/_SUCCESS"):
         return False
     if partition_by:
         # rows of one folder in few tasks: each task writes a file to every folder it has rows for
         rows = rows.hint("rebalance", *partition_by)
+    if counted is not None:
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = rows.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

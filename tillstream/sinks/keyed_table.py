@@ -49,10 +49,9 @@ class KeyedTable:
         batch = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         batch = latest_per_key(batch, self.keys, self.order or self.keys)
         counted = Observation()
-        batch = batch.withColumn("__batch", F.lit(batch_id).cast("bigint")).observe(
-            counted, F.count(F.lit(1)).alias("rows")
-        )
-        return counted.get["rows"] if write_batch(batch, f"{self.path}/changes", batch_id, self.partition_by) else 0
+        batch = batch.withColumn("__batch", F.lit(batch_id).cast("bigint"))
+        written = write_batch(batch, f"{self.path}/changes", batch_id, self.partition_by, counted)
+        return counted.get["rows"] if written else 0
 
     def put(self, spark: SparkSession, document: str | dict, batch_id: int) -> int:
         """Upsert one document, given as JSON text or as a (nested) dict."""
