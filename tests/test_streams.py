@@ -218,6 +218,17 @@ def test_slow_runs_lose_no_line(spark, monkeypatch, name):
     assert differences(found, database(SMALL).execute(stream_runs.registry.sql[name]).df()) is None
 
 
+def test_state_of_the_wide_job_stays_flat(spark):
+    """Rows in state after each run: what the lifetime covers, though the orders grow from part to part; late lines leave too."""
+    held, lines = [], []
+    for warehouse, query in stream_runs.wide_runs(spark, SMALL, "flat", late=True):
+        held.append([operator["numRowsTotal"] for operator in query.lastProgress["stateOperators"]])
+        lines.append(spark.read.parquet(f"{warehouse.root}/late_lines").count())
+    joined = [max(operators) for operators in held]
+    assert max(joined[:-1]) < 1.6 * joined[0] and joined[-1] < 0.05 * joined[0]
+    assert lines == sorted(lines) and lines[-2] > 0 and lines[-1] == len(database(SMALL).execute(stream_runs.registry.sql["stream_late_lines"]).df())
+
+
 def test_end_to_end(spark, rows, warehouse):
     """Change records in, brand sums out, through every layer; a second run finds nothing new."""
     change = lambda table, data, kind="insert": {"type": kind, "table": table, "data": data}
