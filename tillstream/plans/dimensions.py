@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillstream.operators.as_of import as_of_join
 from tillstream.operators import lookups
 from tillstream.operators.keyed import latest_per_key
 from tillstream.operators.dimensions import trademark_records
@@ -96,6 +97,55 @@ def dim_upsert(spark, folder):
     return stored.read(spark)
 
 
+@registry.query(
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 3 = 0 THEN 'moved' ELSE c_mktsegment END AS segment
+    FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-30')
+    """
+)
+def dim_rows_pruned(spark, folder):
+    """Customers that the last days' orders refer to, from a table in folders by key, with changes over a base."""
+    customers = load(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("segment")
+    )
+    schema = StructType.fromDDL("id STRING, segment STRING")
+    stored = KeyedTable(workspace(spark, "dim_rows_pruned"), schema, ["id"], buckets=64)
+    stored.upsert(customers, 0)
+    stored.compact(spark, 0)
+    moved = customers.where(F.col("id").cast("bigint") % 3 == 0)
+    stored.upsert(moved.withColumn("segment", F.lit("moved")), 1)
+    orders = load(spark, folder, "orders").where(F.col("o_orderdate") >= F.lit("2001-07-30").cast("timestamp_ntz"))
+    return stored.in_use(spark, orders, "o_custkey")
+
+
+@registry.query(
+    """
+    WITH versions AS (
+        SELECT c_custkey, TIMESTAMP '1990-01-01' AS since, c_mktsegment AS level FROM customer
+        UNION ALL SELECT c_custkey, TIMESTAMP '1996-01-01' + INTERVAL 1 DAY * (c_custkey % 400)::INT, 'second' FROM customer WHERE c_custkey % 2 = 0
+        UNION ALL SELECT c_custkey, TIMESTAMP '1999-01-01' + INTERVAL 1 DAY * (c_custkey % 700)::INT, 'third' FROM customer WHERE c_custkey % 5 > 0)
+    SELECT o_orderkey AS id, o_custkey AS user_id, level AS user_level, since
+    FROM orders ASOF LEFT JOIN versions ON o_custkey = c_custkey AND o_orderdate >= since
+    """
+)
+def order_user_as_of(spark, folder):
+    """Orders with their user's level as it was at the order's time, over three versions of the users."""
+    customers = load(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("user_level"))
+
+    def version(start: str, days: int, level: str):
+        since = F.date_add(F.lit(start).cast("date"), (F.col("user_id") % days).cast("int")).cast("timestamp_ntz")
+        return customers.select("user_id", F.lit(level).alias("user_level"), since.alias("since"))
+
+    first = customers.withColumn("since", F.lit("1990-01-01").cast("timestamp_ntz"))
+    second = version("1996-01-01", 400, "second").where("user_id % 2 = 0")
+    third = version("1999-01-01", 700, "third").where("user_id % 5 > 0")
+    orders = load(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("at")
+    )
+    versions = first.unionByName(second).unionByName(third)
+    return as_of_join(orders, versions, "user_id", "at", "since", ["user_level", "since"], seconds=90 * 86_400).drop("at")
+
+
 @registry.query(
     """
     SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS sku_name FROM part

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from tillstream.functions.documents import record_json
 from tillstream.functions.keys import joined, prefixed, source_topic
 from tillstream.functions.text import has_nested_term, query_tokens
+from tillstream.operators.postings import hits, tokens, write_postings
 from tillstream.operators.search import by_id, search
 from tillstream.plans.inputs import load
 from tillstream.plans.registry import Registry
+from tillstream.session import workspace
 from tillstream.sources.tables import sql_rows
 
 registry = Registry()
@@ -38,6 +40,24 @@ def search_match(spark, folder):
     return search(load(spark, folder, "documents"), "text", QUERY, mark="marked").select("doc_id", "lang", "marked")
 
 
+@registry.query(
+    rf"""
+    WITH asked AS (
+        SELECT item_id, unnest(list_distinct(list_filter({_WORDS.format('lower(text)')}, lambda t: length(t) >= 10))) AS token FROM benchmark),
+    held AS (SELECT doc_id, unnest(list_distinct({_WORDS.format('lower(text)')})) AS token FROM documents)
+    SELECT item_id, doc_id, count(*) AS n_tokens FROM asked JOIN held USING (token) GROUP BY item_id, doc_id
+    """
+)
+def search_many(spark, folder):
+    """The long words of every benchmark item as one query each, answered together from a table of postings."""
+    place = workspace(spark, "postings")
+    postings = write_postings(load(spark, folder, "documents"), "doc_id", "text", place)
+    asked = load(spark, folder, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.filter(tokens(F.col("text")), lambda t: F.char_length(t) >= 10).alias("tokens")
+    )
+    return hits(postings, asked).select(F.col("query_id").alias("item_id"), F.col("id").alias("doc_id"), "n_tokens")
+
+
 def _page(spark, folder, sort, start, size):
     found = search(
         load(spark, folder, "documents"), "text", QUERY, only=F.col("lang") == "en", sort=sort, start=start, size=size,
