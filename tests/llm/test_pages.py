@@ -2,7 +2,9 @@
 
 import gzip
 import hashlib
+import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -178,6 +180,53 @@ def test_without_any_named_content_density_decides(spark):
     assert all(text.split("\n") == ["Head", *[f"{PROSE}{i} {k}" for k in range(3)]] for i, text in found.items())
 
 
+def test_decoding_is_the_best_of_all_labellings():
+    """Small trees: no labelling that keeps to the rules is likelier."""
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        nodes = html_text.parse("".join(rng.choice(["<div>", "</div>", "<ul>", "<li>", "x"]) for _ in range(9)))[:7]
+        nodes = [html_text.Node(n.tag, n.words, n.parent, n.depth) for n in nodes]
+        margin = rng.normal(0, 2, len(nodes))
+        yes, no = -np.logaddexp(0, -margin), -np.logaddexp(0, margin)
+        worth = lambda label: sum(yes[i] if kind == 1 else no[i] for i, kind in enumerate(label))
+        allowed = []
+        for label in itertools.product(range(3), repeat=len(nodes)):
+            pairs = [(label[n.parent], label[i]) for i, n in enumerate(nodes) if i]
+            if label[0] != 2 and all(not (up == 2 and own != 2) and not (up == 1 and own == 0) for up, own in pairs):
+                allowed.append(worth(label))
+        assert abs(worth(html_text.decode(nodes, margin)) - max(allowed)) < 1e-9
+
+
+def without_names(page):
+    """The page with containers all alike and without classes and ids."""
+    page = re.sub(r"\s(?:class|id|role)=\"[^\"]*\"", "", page)
+    return re.sub(r"<(/?)(?:article|nav|footer|aside|section|header|main)\b", r"<\1div", page)
+
+
+def test_pages_without_any_names(spark):
+    """Learnt from the table's pages, read on others whose elements' names tell nothing."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    trees = html_text.fit(pages.where("page_id % 2 = 0"))
+    found = right = wanted = 0
+    for row in pages.where("page_id % 2 = 1").collect():
+        [named], [bare] = (html_text.extract([page], trees) for page in (row.html, without_names(row.html)))
+        named, bare = named.split("\n"), bare.split("\n")
+        found, wanted = found + len(bare), wanted + len(named)
+        right += sum(block in named for block in bare)
+    assert right / found > 0.95 and right / wanted > 0.95
+
+
+@pytest.mark.parametrize("part", ["<div>", "<div><p>x", "<ul><li>", "<p>a</p>", "<table><tr><td>", "<span><b>", "</p></div>"])
+def test_reading_takes_time_in_proportion(part):
+    def seconds(size):
+        began = time.perf_counter()
+        html_text.node_features(html_text.parse(part * size))
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert seconds(40_000) < 12 * max(seconds(10_000), 0.05)
+
+
 def test_decoding_is_consistent():
     """Nothing below a node left out is chosen, and no frame lies in the content."""
     rng = np.random.default_rng(2)

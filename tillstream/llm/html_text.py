@@ -2,14 +2,16 @@
 
 A page is read into a tree of block elements; inline elements belong to the text around them. Every block node
 is described by its tag and attribute words, depth, place among its siblings, text density of its subtree,
-share of link text, and the same of its parent. Boosted regression trees give the probability that a node lies
+share of link text, how much of the page comes before it, its size against its largest sibling, and the same of its parent. Boosted regression trees give the probability that a node lies
 in the main content. A dynamic program over the tree then picks the most likely consistent labelling: below a
 node that is left out everything is left out, and a frame around the content never lies inside it.
 
 The trees are trained on a bounded sample of the pages that name a content element; where no page does, the density
 of text stands in for them. Their nodes get labels from the words that name an
 element's role (fixed lists below), and each sample page is also seen in other dress: roles named otherwise or
-not at all, and with comments, forms, notices and side columns put in from the page's own boilerplate.
+not at all (in most copies), and with comments, forms, notices and side columns put in from the page's own boilerplate.
+
+Reading and labelling take time in proportion to the page, however deep or wide it is.
 
 Defined cases: null html counts as empty; a page without content gives an empty text; unclosed and misnested
 elements are closed by what follows; a tag cut off at the end is dropped; a page id or page that is repeated gives
@@ -18,8 +20,10 @@ equal rows; an empty table gives an empty result; columns of any other name are
 
 from __future__ import annotations
 
+import functools
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,6 +38,7 @@ SAMPLE_PAGES = 200
 SCORED_TOGETHER = 100
 DENSE = 10  # characters per element from which text is content where no page names a content element
 TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
+DRESSED, BARE = 3, 0.6  # further copies of a sample page, and the share of those without any role names
 DRESSED_DEPTH = 200  # sample pages nested deeper are learnt from as they are
 
 # HTML element names by how they are read, and words that name an element's role.
@@ -53,6 +58,7 @@ INLINE = FORMULA | DRAWING | frozenset(
 )
 EMBEDDED = frozenset("audio button canvas noscript object video".split())  # nodes that may stand in a paragraph
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th pre blockquote figcaption caption summary address".split())
+PLAIN = frozenset("#document html body ul ol dl table tr tbody thead".split())  # names that tell a form, not a role
 CONTENT_TAGS = frozenset("article main".split())
 ASIDE_TAGS = frozenset("nav aside footer header form fieldset dialog menu head figure-controls".split())
 CONTENT_WORDS = frozenset("article content main post entry story body text".split())
@@ -105,8 +111,15 @@ def parse(page: str) -> list[Node]:
         if text:
             nodes[open_nodes[-1]].children.append((text, link > 0))
 
-    def close(last: int) -> None:
-        del open_nodes[last:]
+    opened: Counter[str] = Counter()  # by name, so that a tag is looked for only where it is
+
+    def close(*names: str) -> None:
+        """Ends the innermost open element of these names, and all inside it."""
+        while True:
+            tag = nodes[open_nodes.pop()].tag
+            opened[tag] -= 1
+            if tag in names:
+                return
 
     while at < len(page):
         found = _TOKEN.search(page, at)
@@ -138,27 +151,28 @@ def parse(page: str) -> list[Node]:
             if tag == "hr":
                 nodes[open_nodes[-1]].children.append(None)
             continue
-        names = [nodes[number].tag for number in open_nodes]
         if ends:
-            if tag in names:
-                close(len(names) - 1 - names[::-1].index(tag))
+            if opened[tag]:
+                close(tag)
                 link = 0
             continue
         link = 0
-        if "p" in names and tag not in EMBEDDED:  # a paragraph ends where a block starts
-            close(names.index("p"))
-        for place in range(len(open_nodes) - 1, 0, -1):
-            name = nodes[open_nodes[place]].tag
-            if name in _KEEP_OPEN.get(tag, ()):
-                break
-            if name in CLOSES.get(tag, ()):
-                close(place)
-                break
+        while opened["p"] and tag not in EMBEDDED:  # a paragraph ends where a block starts
+            close("p")
+        if any(opened[name] for name in CLOSES.get(tag, ())):
+            for number in reversed(open_nodes):
+                name = nodes[number].tag
+                if name in _KEEP_OPEN[tag]:
+                    break
+                if name in CLOSES[tag]:
+                    close(name)
+                    break
         words = frozenset(_WORD.findall(" ".join("".join(m.groups("")) for m in _ATTRIBUTE.finditer(rest)).lower()))
         nodes.append(Node(tag, words, open_nodes[-1], nodes[open_nodes[-1]].depth + 1))
         nodes[open_nodes[-1]].children.append(len(nodes) - 1)
         if not rest.endswith("/"):
             open_nodes.append(len(nodes) - 1)
+            opened[tag] += 1
     for number in range(len(nodes) - 1, -1, -1):
         nodes[number].end = max(nodes[number].end, number + 1)
         if number:
@@ -166,42 +180,59 @@ def parse(page: str) -> list[Node]:
     return nodes
 
 
-N_OWN = 17
+N_OWN = 20
+
+
+@functools.lru_cache(10_000)
+def _role(tag: str, words: frozenset[str]) -> tuple[bool, ...]:
+    """What an element's names say of it: content, aside, paragraph, page, list, heading."""
+    content = tag in CONTENT_TAGS or bool(words & CONTENT_WORDS)
+    aside = tag in ASIDE_TAGS or bool(words & ASIDE_WORDS)
+    heading = tag.startswith("h") and tag[1:].isdigit()
+    page = tag in ("html", "body", "#document")
+    return content, aside, tag in PARAGRAPHS, page, tag in ("ul", "ol", "li"), heading
 
 
 def node_features(nodes: list[Node]) -> np.ndarray:
     """A row per node: its own figures, then its parent's."""
     n = len(nodes)
-    text, linked, paragraphs, count = (np.zeros(n) for _ in range(4))
+    totals = text, linked, paragraphs, count = [[0.0] * n for _ in range(4)]
+    said, place, width = [0.0] * n, [0] * n, [0] * n  # said: by the element itself
     for number in range(n - 1, -1, -1):
-        node = nodes[number]
+        node, elements = nodes[number], 0
         for child in node.children:
-            if isinstance(child, tuple):
-                size = len(child[0].split()) and len(child[0].strip())
-                text[number] += size
+            if isinstance(child, int):
+                place[child] = elements
+                elements += 1
+            elif child is not None:
+                size = len(child[0].strip())
+                said[number] += size
                 linked[number] += size * child[1]
+        width[number] = elements
+        text[number] += said[number]
         count[number] += 1
         paragraphs[number] += node.tag in PARAGRAPHS
         if number:
-            for totals in (text, linked, paragraphs, count):
-                totals[node.parent] += totals[number]
-    place, width = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for number, node in enumerate(nodes):
-        elements = [child for child in node.children if isinstance(child, int)]
-        place[elements], width[number] = np.arange(len(elements)), len(elements)
-    own = np.zeros((n, N_OWN))
-    for number, node in enumerate(nodes):
-        above = own[node.parent] if number else np.zeros(N_OWN)
-        content = node.tag in CONTENT_TAGS or bool(node.words & CONTENT_WORDS)
-        aside = node.tag in ASIDE_TAGS or bool(node.words & ASIDE_WORDS)
-        own[number] = (
-            content, aside, node.tag in PARAGRAPHS, node.tag in ("html", "body", "#document"), node.tag in ("ul", "ol", "li"),
-            node.tag.startswith("h") and node.tag[1:].isdigit(), min(node.depth, 30), min(place[number], 64), min(width[max(node.parent, 0)], 64),
-            np.log1p(text[number]), np.log1p(text[number] / count[number]), linked[number] / max(text[number], 1),
-            np.log1p(paragraphs[number]), text[number] / max(text[node.parent] if number else text[0], 1), text[number] / max(text[0], 1),
-            max(above[15], content), max(above[16], aside),
-        )
+            for total in totals:
+                total[node.parent] += total[number]
+    roles, inside = [_role(node.tag, node.words) for node in nodes], []
+    for number, node in enumerate(nodes):  # a name of content, of an aside, of the element or of one around it
+        content, aside = inside[node.parent] if number else (False, False)
+        inside.append((content or roles[number][0], aside or roles[number][1]))
     parents = np.array([max(node.parent, 0) for node in nodes])
+    text, linked, paragraphs, count, said, place, width = map(np.array, (*totals, said, place, width))
+    largest = np.zeros(n)
+    np.maximum.at(largest, parents[1:], text[1:])
+    above, beside = text[parents], largest[parents]
+    above[0] = beside[0] = text[0]
+    own = np.column_stack(
+        [
+            roles, np.minimum([node.depth for node in nodes], 30), np.minimum(place, 64), np.minimum(width[parents], 64),
+            np.log1p(text), np.log1p(text / count), linked / np.maximum(text, 1), np.log1p(paragraphs),
+            text / np.maximum(above, 1), text / max(text[0], 1), inside,
+            (np.cumsum(said) - said) / max(text[0], 1), text / np.maximum(beside, 1), np.minimum(width[parents] - place, 64),
+        ]
+    )
     return np.concatenate([own, own[parents, :13]], axis=1).astype(np.float32)
 
 
@@ -224,6 +255,8 @@ def _dressed(page: str, rng: np.random.Generator) -> tuple[list[Node], np.ndarra
     labels = taught(nodes)
     if not labels.any() or max(node.depth for node in nodes) > DRESSED_DEPTH:
         return None
+    if rng.random() < BARE:
+        return _bare(nodes, labels)
     texts = [text for node, inside in zip(nodes, labels) if not inside for text in _own_texts(node) if text.strip()]
     mode = rng.integers(3)
     blocks = []
@@ -278,6 +311,15 @@ def _dressed(page: str, rng: np.random.Generator) -> tuple[list[Node], np.ndarra
     return again, want
 
 
+def _bare(nodes: list[Node], labels: np.ndarray) -> tuple[list[Node], np.ndarray]:
+    """The page with no name that tells a role: containers are all alike, classes and ids are gone."""
+    renamed = [
+        Node(node.tag if node.tag in PARAGRAPHS or node.tag in PLAIN else "div", frozenset(), node.parent, node.depth, node.children, node.end)
+        for node in nodes
+    ]
+    return renamed, labels
+
+
 def _own_texts(node: Node) -> list[str]:
     return [child[0] for child in node.children if isinstance(child, tuple)]
 
@@ -423,7 +465,7 @@ def _learnt(pages: DataFrame, size: int) -> Trees | None:
     for page in sample:
         nodes = parse(page)
         seen = [(nodes, taught(nodes))] if page else []
-        seen += [dressed for dressed in (_dressed(page, rng) for _ in range(2)) if dressed]
+        seen += [dressed for dressed in (_dressed(page, rng) for _ in range(DRESSED)) if dressed]
         for tree, want in seen:
             rows.append(node_features(tree))
             labels.append(want)
