@@ -162,6 +162,21 @@ def test_repeated_paragraphs(spark):
     assert found[2][1] == [(6, 26)] and "three" not in found[2][0]
 
 
+@pytest.mark.parametrize(("bits", "most"), [(8, 2000), (40_000, 130), (1 << 26, 101)])
+def test_no_row_of_a_hit_is_filtered_out(spark, bits, most):
+    """However full the bitmap is; a roomy one lets hardly any other row through."""
+    rows = spark.range(2000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("digest"), F.lit(1).alias("bucket2"))
+    hits = rows.where("id % 20 = 3").select("digest")
+    found = {r.id for r in exact_dedup.hits_only(rows.withColumnRenamed("id", "n").select("n", "digest"), hits, bits).withColumnRenamed("n", "id").collect()}
+    assert set(range(3, 2000, 20)) <= found and len(found) <= most
+
+
+def test_rows_that_are_in_no_file_are_written_first(spark):
+    made = documents(spark, (1, "A"), (2, "a"), (3, "b"))
+    assert sorted(r.doc_id for r in exact_dedup.without_copies(made).collect()) == [2, 3]
+    assert exact_dedup.in_files(made).inputFiles()
+
+
 # near duplicates --------------------------------------------------------------------------------
 
 

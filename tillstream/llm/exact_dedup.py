@@ -4,7 +4,8 @@ Rows become (digest, id, content locator). A stream keeps, for each digest ever
 locator of its row and the number of rows; the state lies in a disk-backed store in the shared folder and
 never expires. Rows are joined to the state by digest. Digests with more than one row are hits: their
 full bytes are compared, and where texts differ in spite of an equal digest, the rows of that digest are
-grouped by their whole text instead.
+grouped by their whole text instead. Only the texts of hits are shuffled for that: a bitmap of `FILTER_BITS` bits, of
+fixed size whatever the input, lets through all rows of hits and few others.
 
 State is summed in each task before the shuffle, so a text that a third of all rows hold sends one row per
 task. The join back splits a heavy digest (skew join), as the state has one row for it.
@@ -37,17 +38,41 @@ STATE_ON_DISK = {
 }
 
 
+FILTER_BITS = 1 << 26  # eight megabytes at most, sent to every executor
+
+
 def sha256(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
-def located(docs: DataFrame) -> Column:
-    """Where a row's content lies: file and row for rows read from files, else the row's number in this run."""
+def in_files(docs: DataFrame) -> DataFrame:
+    """The rows, read from files, so that each has a place that stays: written first, if they are not."""
     try:
         docs.select("_metadata.file_path", "_metadata.row_index")
-        return F.concat_ws("#", "_metadata.file_path", F.format_string("%015d", "_metadata.row_index"))
+        return docs
     except AnalysisException:
-        return F.format_string("row#%020d", F.monotonically_increasing_id())
+        return written(docs, "exact-rows")
+
+
+def located() -> Column:
+    """Where a row's content lies: file and row."""
+    return F.concat_ws("#", "_metadata.file_path", F.format_string("%015d", "_metadata.row_index"))
+
+
+def _bit(digest: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(digest), F.lit(bits)) + 1
+
+
+def hits_only(rows: DataFrame, hits: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """All rows whose digest is among the hits, and a few others, without a shuffle of the rows."""
+    places = hits.select(_bit("digest", bits).alias("id"))
+    places = places.select(F.bitmap_bucket_number("id").alias("bucket"), F.bitmap_bit_position("id").alias("bit"))
+    marks = F.broadcast(places.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("marks")))
+    at = F.bitmap_bit_position("id")
+    byte = F.conv(F.hex(F.substring("marks", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.getbit(byte, (at % 8).cast("int")) == 1
+    placed = rows.withColumn("id", _bit("digest", bits)).withColumn("bucket", F.bitmap_bucket_number("id"))
+    return placed.join(marks, "bucket").where(marked).select(*rows.columns)
 
 
 def keep_state(rows: DataFrame, checkpoint: str, changes: str, drain: bool = True) -> StreamingQuery:
@@ -90,10 +115,10 @@ def exact_groups(
     `batches`: the number of micro-batches that a table's rows are dealt into. `digest`: any digest; what a
     weak one confuses is told apart by the whole text.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, in_files(docs)
     root = workspace(spark, "exact-dedup")
     rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), ascii_lower(F.col(text)).alias("body"), located(docs).alias("locator")
+        F.col("doc_id").cast("bigint").alias("doc_id"), ascii_lower(F.col(text)).alias("body"), located().alias("locator")
     ).withColumn("digest", digest(F.col("body")))
     narrow = rows.select("doc_id", "locator", "digest", sha256(F.col("body")).alias("text_sha256"))
     narrow.write.parquet(f"{root}/rows")
@@ -104,7 +129,8 @@ def exact_groups(
     # written, so that both sides of the join below are plain shuffles, which a skew join can split
     state = written(current_state(spark, f"{root}/changes"), "exact-state")
 
-    texts = rows.groupBy("digest").agg(F.count("*").alias("n"), F.min("body").alias("least"), F.max("body").alias("most"))
+    # the digests of hits are taken from the state that is written; their texts alone meet
+    texts = hits_only(rows, state.where("group_size > 1").select("digest")).groupBy("digest").agg(F.count("*").alias("n"), F.min("body").alias("least"), F.max("body").alias("most"))
     confused = texts.where((F.col("n") > 1) & (F.col("least") != F.col("most"))).select("digest")
     confused.write.parquet(f"{root}/confused")
     confused = spark.read.schema(confused.schema).parquet(f"{root}/confused")
@@ -126,6 +152,7 @@ def exact_groups(
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns."""
+    docs = in_files(docs)
     kept = exact_groups(docs).where("kept").select("locator")
-    rows = docs.select(F.struct("*").alias("doc"), located(docs).alias("locator"))
+    rows = docs.select(F.struct("*").alias("doc"), located().alias("locator"))
     return rows.join(kept, "locator", "left_semi").select("doc.*")
