@@ -154,7 +154,7 @@ def test_first_order_in_batch(spark, rows):
     known = spark.createDataFrame([("9", "1")], "user_id string, if_consumed string")
     flagged = with_first_flag(batch, known)
     assert rows(flagged.select("id", "if_first_order")) == [(1, "0"), (2, "1"), (4, "1"), (5, "0"), (6, "0"), (7, "0")]
-    assert rows(status_updates(flagged)) == [("7", "1"), ("8", "1")]
+    assert rows(status_updates(flagged)) == [("7", "1", 2), ("8", "1", 4)]
 
 
 def test_lookup_without_match_keeps_the_order(spark, rows):
