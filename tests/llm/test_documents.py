@@ -326,6 +326,28 @@ def test_contamination_of_hard_rows(spark, hard, empty):
     assert clean.columns == hard.columns and {r.doc_id for r in clean.collect()} == {1, 2, 3, 8, None}
 
 
+def test_a_header_of_very_many_items(spark):
+    """Items share twelve words, documents have them: a document meets the windows once, not once per item."""
+    header = "all of these items begin with the same twelve words every time"
+    items = [(i, f"{header} " + " ".join(f"i{i}x{k}" for k in range(8))) for i in range(1000)]
+    docs = [(i, f"before {header} " + " ".join(f"d{i}y{k}" for k in range(30))) for i in range(150)] + [(999, "d1y1 d1y2 " * 20)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = decontamination._keyed(documents(spark, *docs))
+    hits, members = decontamination._hits(texts, benchmark, 10, decontamination.GRAM)
+    assert hits.count() == 150 * 3 and hits.select("set_id").distinct().count() == 1
+    assert judged(spark, documents(spark, *docs), items) == hits_by_hand(docs, items, 10)
+    assert [r.doc_id for r in decontamination.without_contaminated(documents(spark, *docs), benchmark).collect()] == [999]
+
+
+def test_few_texts_meet_their_places(spark):
+    """The bitmap lets all wanted texts through, and next to no other."""
+    texts = decontamination._keyed(documents(spark, *[(i, f"text {i}") for i in range(3000)], (None, "x"), (None, None)))
+    wanted = texts.where("doc_id % 100 = 7 OR doc_id IS NULL").select("doc_id", "text_key")
+    asked = decontamination._asked(texts, wanted).where("asked")
+    assert asked.count() - 32 <= 2 and asked.join(wanted, "text_key", "left_semi").count() == 32
+    assert decontamination._asked(texts, wanted.limit(0)).where("asked").count() == 0
+
+
 # language ---------------------------------------------------------------------------------------
 
 PHRASES = {
