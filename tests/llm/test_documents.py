@@ -343,9 +343,9 @@ def test_few_texts_meet_their_places(spark):
     """The bitmap lets all wanted texts through, and next to no other."""
     texts = decontamination._keyed(documents(spark, *[(i, f"text {i}") for i in range(3000)], (None, "x"), (None, None)))
     wanted = texts.where("doc_id % 100 = 7 OR doc_id IS NULL").select("doc_id", "text_key")
-    asked = decontamination._asked(texts, wanted).where("asked")
+    asked = base.asked(texts, wanted, "doc_id", "text_key").where("asked")
     assert asked.count() - 32 <= 2 and asked.join(wanted, "text_key", "left_semi").count() == 32
-    assert decontamination._asked(texts, wanted.limit(0)).where("asked").count() == 0
+    assert base.asked(texts, wanted.limit(0), "doc_id", "text_key").where("asked").count() == 0
 
 
 # language ---------------------------------------------------------------------------------------

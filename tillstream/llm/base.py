@@ -9,6 +9,7 @@ from tillstream.session import workspace
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+FILTER_BITS = 1 << 26  # eight megabytes at most, sent to every executor
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,6 +44,19 @@ def counted(rows: DataFrame, purpose: str, *more: Column) -> tuple[DataFrame, tu
     return stored, tuple(found[f"t{i}"] for i in range(len(more) + 1))
 
 
+def asked(rows: DataFrame, wanted: DataFrame, *keys: str, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows with `asked`: true for all whose keys are wanted and for few others, without a shuffle of rows."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    places = wanted.select(place.alias("place"))
+    marks = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("marks")
+    )
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("marks", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    placed = rows.withColumn("bucket", F.bitmap_bucket_number(place)).join(F.broadcast(marks), "bucket", "left")
+    return placed.withColumn("asked", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("bucket", "marks")
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows a model must not learn from: crc32 of the id as text leaves remainder 1 when divided by 3."""
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 3 == 1

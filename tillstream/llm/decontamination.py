@@ -21,11 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.base import ascii_lower, written
+from tillstream.llm.base import ascii_lower, asked, written
 
 SPAN = 10
 GRAM = 6
-FILTER_BITS = 1 << 26
+_KEYS = ("doc_id", "text_key")
 POSITION_BITS = 30  # a text has fewer words than that; the bits above hold the hash
 _HASH = ~((1 << POSITION_BITS) - 1)
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -108,19 +108,6 @@ def _same(a: str, b: str) -> Column:
     return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
 
 
-def _asked(texts: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """The texts with `asked`: true for all that are wanted and for few others, without a shuffle of texts."""
-    place = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(bits))
-    places = wanted.select(place.alias("place"))
-    marks = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("marks")
-    )
-    at = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring("marks", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    placed = texts.withColumn("bucket", F.bitmap_bucket_number(place)).join(F.broadcast(marks), "bucket", "left")
-    return placed.withColumn("asked", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("bucket", "marks")
-
-
 def _hits(texts: DataFrame, items: DataFrame, span: int, gram: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_key, start word, span, set_id) of the windows that documents have, and the sets' members."""
     index, windows, members, shorter = benchmark_index(items, span, gram)
@@ -131,7 +118,7 @@ def _hits(texts: DataFrame, items: DataFrame, span: int, gram: int) -> tuple[Dat
     places = places.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "span")).alias("places"))
     places = written(places, "document-places")
 
-    wanted = _asked(texts, places).where("asked").alias("d").join(places.alias("p"), _same("d", "p"))
+    wanted = asked(texts, places, *_KEYS).where("asked").alias("d").join(places.alias("p"), _same("d", "p"))
     wanted = wanted.select("d.doc_id", "d.text_key", words_of(F.col("d.text")).alias("words"), "p.places")
     inside = F.filter("places", lambda p: p["start"] + p["span"] - 1 <= F.size("words"))
     cut = lambda p: F.struct(
@@ -148,7 +135,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, span: int = SPAN, gr
     texts = _keyed(docs)
     hits, _ = _hits(texts, items, span, gram)
     bad = hits.select("doc_id", "text_key").distinct()
-    rows = _asked(texts, bad)
+    rows = asked(texts, bad, *_KEYS)
     left = rows.where("asked").alias("d").join(bad.alias("b"), _same("d", "b"), "left_anti")
     return rows.where("NOT asked").select("doc.*").unionByName(left.select("doc.*"))
 

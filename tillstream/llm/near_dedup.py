@@ -16,6 +16,9 @@ rarest quarter of their shingles (prefix filter), and what comes after the first
 (positional filter). Buckets by such shingles go through rounds of 1, 16, 256, ... hubs until all are done. Component ids are
 thus those of all links.
 
+The full sets of all members of buckets are written once, before the first round, with a bitmap of fixed size in front, so that
+other texts are not shuffled; rounds read those of the ids they need. Where copies are removed, only texts that go are shuffled.
+
 Defined cases: null or empty texts have no words, are their own component and linked with nothing; rows
 that repeat an id are judged row by row; null ids rank last in a component and stay if it has no other; an
 empty table gives an empty result; columns of any other name are ignored.
@@ -32,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.base import counted, filled, written
+from tillstream.llm.base import asked, counted, filled, written
 from tillstream.llm.components import components
 
 WORDS = 5
@@ -154,23 +157,32 @@ def _classes(signed: DataFrame) -> DataFrame:
     return written(grouped.withColumn("id", F.monotonically_increasing_id()), "near-classes")
 
 
+def _row_key() -> Column:
+    """The id and the hash of the text in one value that is never null."""
+    return F.concat_ws(":", "doc_id", "text_key")
+
+
 def _sets(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """The full sets of the classes with these ids."""
-    wanted = classes.join(ids, "id").select("id", "text_of").alias("w")
-    d = _keyed(docs).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("w.text_of.doc_id")) & (F.col("d.text_key") == F.col("w.text_of.text_key"))
+    """The full sets of the classes with these ids, one row each, written once."""
+    wanted = classes.join(ids, "id").select("id", "text_of.*").select("id", _row_key().alias("row_key"))
+    wanted = written(wanted, "near-wanted")
+    texts = _keyed(docs).select(_row_key().alias("row_key"), "text")
+    texts = asked(texts, wanted, "row_key").where("asked").groupBy("row_key").agg(F.first("text").alias("text"))
 
     def make(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             yield pd.DataFrame({"id": part["id"], "members": [shingles(text).view(np.int64) for text in part["text"]]})
 
-    return wanted.join(d, same).select("id", "text").mapInPandas(make, "id bigint, members array<bigint>")
+    found = wanted.join(texts, "row_key").select("id", "text").mapInPandas(make, "id bigint, members array<bigint>")
+    return written(found, "near-sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
-    one = sets.select(F.col("id").alias("a"), F.col("members").alias("of_a"))
-    other = sets.select(F.col("id").alias("b"), F.col("members").alias("of_b"))
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    some = written(sets.join(ids, "id", "left_semi"), "near-met-sets")
+    one = some.select(F.col("id").alias("a"), F.col("members").alias("of_a"))
+    other = some.select(F.col("id").alias("b"), F.col("members").alias("of_b"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", F.size("of_a").alias("na"), F.size("of_b").alias("nb"),
                                                         F.size(F.array_intersect("of_a", "of_b")).alias("shared"))
     return both.where(F.col("shared") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
@@ -182,14 +194,13 @@ def _shared_only(members: DataFrame) -> DataFrame:
     return members.join(shared, "key", "left_semi")
 
 
-def _prefixes(docs: DataFrame, classes: DataFrame, ids: DataFrame, percent: int) -> DataFrame:
+def _prefixes(sets: DataFrame, ids: DataFrame, percent: int) -> DataFrame:
     """Rare shingles of these classes: key, id, number of the class's rarer ones (at) and of all of them (n).
 
     Two classes that are similar enough share one of these; the order is by the number of classes here that have a shingle.
     """
-    tokens = written(_sets(docs, classes, ids), "near-left-sets").select(
-        "id", F.size("members").alias("n"), F.explode("members").alias("key")
-    )
+    left = written(sets.join(ids, "id", "left_semi"), "near-left-sets")
+    tokens = left.select("id", F.size("members").alias("n"), F.explode("members").alias("key"))
     found = tokens.groupBy("key").agg(F.count("*").alias("classes")).where("classes > 1")
     ordered = tokens.join(found, "key").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("classes", "key"))).alias("all"))
     placed = ordered.select("id", "n", F.size("all").alias("shared"), F.posexplode("all").alias("nr", "one"))
@@ -236,12 +247,11 @@ def _meet(
     return near if n[0] else None, rest
 
 
-def _joined(docs: DataFrame, classes: DataFrame, near: DataFrame | None, labels: DataFrame | None, percent: int) -> DataFrame | None:
+def _joined(sets: DataFrame, near: DataFrame | None, labels: DataFrame | None, percent: int) -> DataFrame | None:
     """Labels after the pairs that are links on their full sets."""
     if near is None:
         return labels
-    ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    links = _confirmed(near, written(_sets(docs, classes, ids), "near-sets"), percent)
+    links = _confirmed(near, sets, percent)
     if labels is None:
         return components(links)
     ends = links.join(labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
@@ -256,17 +266,20 @@ def _joined(docs: DataFrame, classes: DataFrame, near: DataFrame | None, labels:
 def _linked(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
     """(node, component) of the classes that are linked to one with a smaller id; None where no pair came near."""
     narrow, labels = classes.select("id", "n", "planes"), None
-    members = _shared_only(classes.select(F.explode("bands").alias("key"), "id"))
+    members, n = counted(_shared_only(classes.select(F.explode("bands").alias("key"), "id")), "near-members")
+    if not n[0]:
+        return None
+    sets = _sets(docs, classes, members.select("id").distinct())
     for hubs_each in BAND_HUBS:
         near, members = _meet(members, labels, narrow, hubs_each, percent)
-        labels = _joined(docs, classes, near, labels, percent)
+        labels = _joined(sets, near, labels, percent)
         if members is None:
             return labels
     ids, n = counted(_undone(_placed(members, labels)).select("id").distinct(), "near-left")
-    members, hubs_each = _shared_only(_prefixes(docs, classes, ids, percent)) if n[0] else None, 1
+    members, hubs_each = _shared_only(_prefixes(sets, ids, percent)) if n[0] else None, 1
     while members is not None:
         near, members = _meet(members, labels, narrow, hubs_each, percent)
-        labels = _joined(docs, classes, near, labels, percent)
+        labels = _joined(sets, near, labels, percent)
         hubs_each *= 16
     return labels
 
@@ -292,9 +305,11 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def without_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The document of each component that stays, with all its columns."""
-    kept = near_groups(docs, percent).where("kept").select("doc_id", "text_key").alias("k")
+    gone = near_groups(docs, percent).where("NOT kept").select(_row_key().alias("row_key"))
+    gone = written(gone.distinct(), "near-gone")
     rows = docs.select(
         F.struct("*").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(filled(F.col("text"))).alias("text_key")
-    ).alias("r")
-    same = F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("r.text_key") == F.col("k.text_key"))
-    return rows.join(kept, same, "left_semi").select("doc.*")
+    ).select("doc", _row_key().alias("row_key"))
+    rows = asked(rows, gone, "row_key")
+    left = rows.where("asked").join(gone, "row_key", "left_anti")
+    return rows.where("NOT asked").select("doc").union(left.select("doc")).select("doc.*")
