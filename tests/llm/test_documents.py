@@ -418,22 +418,34 @@ def test_quality(spark, empty):
     assert {r.score for r in quality.quality(docs, given.limit(0)).collect()} == {0.5}
 
 
-def test_sample_of_ids_is_cut_in_every_task(spark):
-    """The ids of a sample over the whole table are not ranked in one task, and stay the same ids."""
+def test_sample_of_ids(spark):
+    """The ids with the smallest hash, of all or of each value, where values are frequent, rare, or hash high."""
     docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     rows = docs.unionByName(docs.where("doc_id < 900")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS doc_id, 'x' AS text"))
-    plans, real = [], base.written
-
-    def seen(frame, purpose):
-        plans.append(frame._jdf.queryExecution().executedPlan().toString())
-        return real(frame, purpose)
-
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(base, "written", seen)
-        found = base.smallest(rows, 1500).collect()
-    ordered = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(1500).collect()
-    assert sorted((r.nr, r.doc_id) for r in found) == [(nr, r.doc_id) for nr, r in enumerate(ordered, 1)]
-    assert len(plans) == 1 and "TakeOrderedAndProject" in plans[0]
+    ordered = [r.doc_id for r in docs.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    found = base.smallest(rows, 1500).collect()
+    assert sorted((r.nr, r.doc_id) for r in found) == list(enumerate(ordered[:1500], 1))
+
+    high = F.xxhash64("doc_id") > F.lit(2**62)  # none of these lies below the first cut
+    lang = F.when(high, "high").when(F.col("doc_id") < 7, "rare").otherwise("often")
+    some = docs.withColumn("lang", lang)
+    of = {r.doc_id: r.lang for r in some.collect()}
+    each = lambda name, size: [(nr, i, name) for nr, i in enumerate([i for i in ordered if of[i] == name][:size], 1)]
+    sampled = lambda most: sorted((r.nr, r.doc_id, r.lang) for r in base.smallest(some, 40, within="lang", most=most).collect())
+    assert sampled(None) == sorted(each("often", 40) + each("rare", 40) + each("high", 40))
+    assert sampled(2) == sorted(each("often", 40) + each("high", 40))
+    assert base.smallest(some.limit(0), 40, within="lang").count() == 0
+
+
+def test_few_ids_of_a_sample_are_ranked(spark):
+    ids = spark.range(20000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 30, "rare").otherwise("often").alias("of"))
+    found = dict(base._lowest(ids, 100).groupBy("of").count().collect())
+    assert found["rare"] == 30 and 120 < found["often"] < 300
+
+
+def test_languages_learnt_are_bounded(spark, speech):
+    model = language.fit(speech.unionByName(speech.limit(30).withColumn("lang", F.concat(F.lit("x"), "doc_id"))), most_languages=2)
+    assert len(model.languages) == 2 and set(model.languages) <= set(PHRASES)
 
 
 def test_prior_estimate():

@@ -62,21 +62,34 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 3 == 1
 
 
-def smallest(rows: DataFrame, size: int, within: str | None = None, among: DataFrame | None = None) -> DataFrame:
+def _lowest(ids: DataFrame, size: int, most: int | None = None) -> DataFrame:
+    """Of (doc_id, of) about twice `size` ids for each `of`, among them the `size` with the smallest hash; all of a small group."""
+    hashed = F.xxhash64("doc_id")
+    groups = ids.groupBy("of").agg(F.count("*").alias("n"))
+    groups = groups if most is None else groups.orderBy(F.desc("n"), "of").limit(most)
+    groups = written(groups.withColumn("top", F.lit(-(2.0**63)) + F.lit(2.0**65 * size) / F.col("n")), "sample-groups")
+    below = ids.join(groups, "of").where(hashed.cast("double") <= F.col("top")).groupBy("of").agg(F.count("*").alias("found"))
+    found = F.coalesce("found", F.lit(0))
+    top = F.when(found < F.least(F.col("n"), F.lit(size)), F.lit(2.0**63)).otherwise(F.col("top"))
+    groups = written(groups.join(below, "of", "left").select("of", top.alias("top")), "sample-tops")
+    return ids.join(groups, "of").where(hashed.cast("double") <= F.col("top")).select("doc_id", "of")
+
+
+def smallest(
+    rows: DataFrame, size: int, within: str | None = None, among: DataFrame | None = None, most: int | None = None
+) -> DataFrame:
     """The rows of the `size` ids with the smallest hash, in all or of each value of a column; one row per id.
 
-    `among` gives the ids to choose from, where not all count.
+    `among` gives the ids to choose from, where not all count; `most` bounds the values, those with the most ids first.
 
-    The ids are chosen from narrow rows and written, so that Spark knows how few they are when it joins the texts.
+    Ids are counted first, so that only those below the hash that twice `size` of them are expected to reach are ranked; a value for
+    which fewer than `size` do has all its ids ranked. The ids are chosen from narrow rows and written, so that Spark knows how
+    few they are when it joins the texts.
     """
-    ids = rows.select("doc_id", *([F.col(within).alias("of")] if within else [])).where("doc_id IS NOT NULL")
+    ids = rows.select("doc_id", (F.col(within) if within else F.lit("")).alias("of")).where("doc_id IS NOT NULL")
     ids = (ids if among is None else ids.join(among, "doc_id", "left_semi")).distinct()
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    if within:
-        nr = F.row_number().over(Window.partitionBy("of").orderBy(*order))
-        ids = ids.withColumn("nr", nr).where(F.col("nr") <= size).groupBy("doc_id").agg(F.min("nr").alias("nr"))
-    else:  # each task keeps its own first ids; only those are numbered together
-        ids = ids.orderBy(*order).limit(size).withColumn("nr", F.row_number().over(Window.orderBy(*order)))
-    ids = written(ids, "sample")
+    nr = F.row_number().over(Window.partitionBy("of").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ranked = _lowest(written(ids, "sample-ids"), size, most).withColumn("nr", nr).where(F.col("nr") <= size)
+    ids = written(ranked.groupBy("doc_id").agg(F.min("nr").alias("nr")), "sample")
     others = [F.min(name).alias(name) for name in rows.columns if name != "doc_id"]
     return rows.join(ids, "doc_id").groupBy("doc_id", "nr").agg(*others)

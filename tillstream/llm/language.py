@@ -5,9 +5,9 @@ spectrum. The kernel of two texts is the weighted number of n-grams both have, d
 Landmark texts span a Nyström approximation, in which one-versus-rest ridge regression is solved. Scoring a
 batch is two matrix products: presence by landmarks, then by the regression's weights.
 
-Fitting takes at most `per_language` labelled texts of each language and `landmarks` of them as landmarks
-(those with the smallest hash of their id); only their packed presence bits reach the driver. Every text is
-scored whole, in batches.
+Fitting takes at most `per_language` labelled texts of each of the `most_languages` languages with the most texts, and `landmarks`
+of them as landmarks (those with the smallest hash of their id); only their packed presence bits reach the driver, 2.6 KB
+a text. Every text is scored whole, in batches.
 
 Defined cases: a text that is null or has no letter is `und` with score 0; with nothing to learn from, all
 texts are; rows without a language are not learnt from; repeated rows get equal results; an empty table gives
@@ -31,6 +31,7 @@ ORDER_BITS = (8, 12, 13, 13)
 WEIGHTS = (1.0, 1.0, 1.0, 1.0)
 PER_LANGUAGE = 400
 LANDMARKS = 16
+MOST_LANGUAGES = 64
 RIDGE = 1e-2
 SHARPNESS = 4.0
 LEAST_SCORE = 0.3
@@ -79,10 +80,12 @@ class Model:
         return score
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model | None:
+def fit(
+    labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, most_languages: int = MOST_LANGUAGES
+) -> Model | None:
     """Learn from columns doc_id, text and lang; None without labelled texts that have a letter."""
     learnt = labelled.where("lang IS NOT NULL AND text IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
-    some = smallest(learnt.select("doc_id", "lang", "text"), per_language, within="lang")
+    some = smallest(learnt.select("doc_id", "lang", "text"), per_language, within="lang", most=most_languages)
 
     def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
