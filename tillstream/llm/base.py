@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +47,18 @@ def counted(rows: DataFrame, purpose: str, *more: Column) -> tuple[DataFrame, tu
     return stored, tuple(found[f"t{i}"] for i in range(len(more) + 1))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """Few rows to an Arrow batch in the jobs inside, whose rows hold whole texts or sets."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def asked(rows: DataFrame, wanted: DataFrame, *keys: str, bits: int = FILTER_BITS) -> DataFrame:
     """The rows with `asked`: true for all whose keys are wanted and for few others, without a shuffle of rows."""
     place = F.pmod(F.xxhash64(*keys), F.lit(bits))

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.base import asked, counted, filled, written
+from tillstream.llm.base import asked, counted, filled, small_batches, written
 from tillstream.llm.components import components
 
 WORDS = 5
@@ -174,7 +174,8 @@ def _sets(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
             yield pd.DataFrame({"id": part["id"], "members": [shingles(text).view(np.int64) for text in part["text"]]})
 
     found = wanted.join(texts, "row_key").select("id", "text").mapInPandas(make, "id bigint, members array<bigint>")
-    return written(found, "near-sets")
+    with small_batches(docs.sparkSession):
+        return written(found, "near-sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -286,7 +287,8 @@ def _linked(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame | No
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, class_id (equal sets have equal ones), text_key."""
-    signed = written(signatures(docs), "near-signatures")
+    with small_batches(docs.sparkSession):
+        signed = written(signatures(docs), "near-signatures")
     classes = _classes(signed)
     labels = _linked(docs, classes, percent)
     placed = _placed(classes.select("digest", "id", "first_id"), labels)
