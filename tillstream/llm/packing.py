@@ -32,6 +32,7 @@ WINDOW = 4096
 END_TOKEN = 2
 CACHED_CHUNKS = 500_000
 CACHED_WORDS = 500_000
+BATCH = 256  # documents whose ids are held in Python at once
 _TOKENS = "doc_id bigint, part int, start bigint, doc_tokens bigint, ids binary"
 _PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -147,8 +148,8 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int = END_TOKEN) -> DataFram
     def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, part_id, start = chunk_tokenizer(tokenizer), TaskContext.get().partitionId(), 0
         for part in parts:
-            for first in range(0, len(part), 256):
-                some = part.iloc[first : first + 256]
+            for first in range(0, len(part), BATCH):
+                some = part.iloc[first : first + BATCH]
                 ids = [one + end_bytes for one in encoder.ids(list(some["text"]))]
                 sizes = np.array([len(one) // 4 for one in ids], dtype=np.int64)
                 starts = start + np.cumsum(sizes) - sizes
@@ -170,20 +171,24 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END
         offsets[row["part"]] = at
         at += row["tokens"]
 
+    def pieces(part: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for doc_id, number, start, size, ids in part.itertuples(index=False):
+            begin, view = offsets[number] + start, memoryview(ids)
+            done = 0
+            while done < size:
+                place = begin + done
+                length = min(window - place % window, size - done)
+                piece = view[4 * done : 4 * (done + length)]
+                row = (doc_id, done, length, zlib.crc32(piece), size, place // window, place % window)
+                found.append((*row, np.frombuffer(piece, "<i4")) if with_ids else row)
+                done += length
+        return pd.DataFrame(found, columns=names).astype({"doc_id": "Int64"})
+
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            found = []
-            for doc_id, number, start, size, ids in part.itertuples(index=False):
-                begin, view = offsets[number] + start, memoryview(ids)
-                done = 0
-                while done < size:
-                    place = begin + done
-                    length = min(window - place % window, size - done)
-                    piece = view[4 * done : 4 * (done + length)]
-                    row = (doc_id, done, length, zlib.crc32(piece), size, place // window, place % window)
-                    found.append((*row, np.frombuffer(piece, "<i4")) if with_ids else row)
-                    done += length
-            yield pd.DataFrame(found, columns=names).astype({"doc_id": "Int64"})
+        for whole in parts:
+            for first in range(0, len(whole), BATCH):
+                yield pieces(whole.iloc[first : first + BATCH])
 
     schema = _PIECES + ", ids array<int>" * with_ids
     names = [field.split()[0] for field in schema.split(", ")]
