@@ -3,23 +3,25 @@
 import datetime as dt
 import itertools
 import json
+import pathlib
 from dataclasses import replace
 
 import pytest
 from compare import database, differences
 from pyspark.sql import functions as F
 from tillstream import schemas
+from tillstream.functions.documents import parse_records
 from tillstream.operators.first_orders import status_updates, with_first_flag
 from tillstream.operators.offsets import start_position
 from tillstream.plans import inputs, stream_runs
 from tillstream.plans.inputs import load
-from tillstream.session import workspace
+from tillstream.session import SHUFFLE_PARTITIONS, workspace
 from tillstream.sinks.batches import committed_results, offset_ledger, path_exists
 from tillstream.sources.tables import table_stream
 from tillstream.sources.topics import FileTopics, KafkaTopics
 from tillstream.streaming import launch
 from tillstream.streaming.jobs import Warehouse
-from tillstream.streaming.runs import each_batch, first_number
+from tillstream.streaming.runs import STATE_PARTITIONS_PER_CORE, each_batch, first_number
 from tillstream.streaming.state import dedup_within, join_within
 
 SMALL = "/root/testdata/sf0.001"
@@ -351,3 +353,38 @@ def test_start_names_all_partitions_at_their_last_written_offsets(spark):
     rows = [("g", "t", 0, 9, 1), ("g", "t", 0, 4, 2), ("g", "t", 2, 7, 1), ("h", "t", 1, 5, 1)]
     ledger = spark.createDataFrame(rows, "group_id string, topic string, partition_id int, topic_offset bigint, batch_id bigint")
     assert json.loads(start_position(ledger, "t", "g", 4)) == {"t": {"0": 4, "1": -2, "2": 7, "3": -2}}
+
+
+def test_state_lies_in_few_partitions(spark):
+    """A stream's state follows the cores, the work on its batches the session's shuffle partitions."""
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get(SHUFFLE_PARTITIONS)
+    events = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), n, 0) for n in range(9)], "mid string, ts timestamp, id bigint, __part int")
+    root, seen = folder_of(spark, events, "state", 1), []
+    spark.conf.set(SHUFFLE_PARTITIONS, "64")
+    try:
+        once = dedup_within(table_stream(spark, root, "state"), ["mid"], "ts", "24 hours", ["id"])
+        work = lambda batch, n: seen.append((batch.count(), batch.sparkSession.conf.get(SHUFFLE_PARTITIONS)))
+        each_batch(once, work, f"{root}/checkpoint", drain=True, hold=True).awaitTermination()
+        assert spark.conf.get(SHUFFLE_PARTITIONS) == "64"
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
+    assert seen == [(1, "64")]
+    places = [p for p in pathlib.Path(f"{root}/checkpoint/state/0").iterdir() if p.name.isdigit()]
+    assert len(places) == STATE_PARTITIONS_PER_CORE * cores < 64
+
+
+def test_messages_of_one_task_are_spread_over_files(spark, warehouse):
+    sent = spark.range(1000).coalesce(1).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("value"))
+    warehouse.topics.write(sent, "sender", 0)
+    found = spark.read.parquet(warehouse.topics.root)
+    files = [row["count"] for row in found.groupBy(F.input_file_name()).count().collect()]
+    assert len(files) == spark.sparkContext.defaultParallelism and max(files) < 2 * min(files)
+    assert found.select("offset").distinct().count() == found.select("value").distinct().count() == 1000
+
+
+def test_a_message_is_parsed_once(spark):
+    messages = spark.createDataFrame([('{"id": "1"}',), ("no json",), (None,), ("[1]",)], "value string")
+    parsed = parse_records(messages, schemas.record("id BIGINT, name STRING"))
+    assert [tuple(row) for row in parsed.collect()] == [(1, None)]
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
