@@ -10,7 +10,11 @@ from tillstream.operators.record_fields import declared_fields, field_drift, rec
 from tillstream.operators.sessions import session_running_sums, sessions
 from tillstream.plans import late_events
 from tillstream.session import workspace
+from tillstream.sinks.batches import write_batch
 from tillstream.sinks.day_table import DayTable
+from tillstream.sources.tables import table_stream
+from tillstream.streaming.runs import each_batch
+from tillstream.streaming.sessions import early_merge, session_stream
 
 SMALL = "/root/testdata/sf0.001"
 GAP = 600
@@ -67,6 +71,27 @@ def test_open_sessions_leave_the_state(spark):
     assert max(held[:-1]) <= 2 * 2 * 15 + 4 and held[-1] <= 2
 
 
+def test_a_stream_joins_sessions_over_batches(spark, rows):
+    """Against plain sessions, in three batches with sessions that go over their cuts; Spark's own operators alone."""
+    pick = random.Random(7)
+    data = [(n, n % 7 or None, pick.randrange(60_000), pick.randrange(100)) for n in range(900)] + [(900, 3, None, 5)]
+    data += [(901, 50, 19_700, 1), (902, 50, 20_300, 2), (903, 50, 20_901, 4)]  # a gap apart over a cut, and a second more
+    root = workspace(spark, "session-batches")
+    for part in range(3):
+        of_part = [row for row in data if (row[2] or 0) // 20_000 == part]
+        events(spark, of_part).coalesce(1).write.mode("append").parquet(f"{root}/events.parquet")
+    events(spark, [(-1, -1, 900_000, 0)]).coalesce(1).write.mode("append").parquet(f"{root}/events.parquet")
+    timed = table_stream(spark, root, "events", maxFilesPerTrigger=1).withWatermark("ts", "1 hour")
+    found = session_stream(timed, "user", "ts", "value", GAP)
+    assert "Pandas" not in found._jdf.queryExecution().analyzed().toString()
+    with early_merge(spark):
+        query = each_batch(found, lambda b, n: write_batch(b, f"{root}/found", n), f"{root}/checkpoint", drain=True, hold=True)
+    query.awaitTermination()
+    given = spark.read.parquet(f"{root}/found").where("user IS NULL OR user >= 0")
+    seconds = [F.unix_seconds(name).alias(name) for name in ("session_start", "session_end")]
+    assert rows(given.select("user", *seconds, "total", "n_rows")) == plain_sessions(data)[0]
+
+
 DAYS = schemas.record("dt STRING, mid STRING, ts BIGINT")
 
 

@@ -15,7 +15,7 @@ from tillstream.sinks.day_table import DayTable
 from tillstream.sources.topics import FileTopics
 from tillstream.streaming.jobs import Warehouse
 from tillstream.streaming.runs import each_batch
-from tillstream.streaming.sessions import rocksdb, session_stream
+from tillstream.streaming.sessions import early_merge, session_stream
 
 registry = Registry()
 
@@ -85,7 +85,7 @@ def session_runs(spark, folder):
         read = topics.read(spark, "events").select(F.from_json("value", "user_id BIGINT, at BIGINT, value_cents BIGINT").alias("e"))
         timed = read.select("e.user_id", F.timestamp_micros("e.at").alias("ts"), "e.value_cents").withWatermark("ts", "1 hour")
         found = session_stream(timed, "user_id", "ts", "value_cents", GAP)
-        with rocksdb(spark):
+        with early_merge(spark):
             query = each_batch(found, lambda b, n: write_batch(b, f"{root}/sessions", n), f"{root}/checkpoint", drain=True, hold=True)
         query.awaitTermination()
         yield f"{root}/sessions", query

@@ -1,92 +1,38 @@
-"""Sessions of a stream: state whose expiry is renewed by every row, held by timers in event time.
+"""Sessions of a stream: windows whose end moves with every row, kept and merged by Spark's own state.
 
-Slots (`operators.sessions.slot_sums`) are summed first, in the JVM and partly before the shuffle; each comes once, when the
-watermark has passed it, and in the order of time. The state of a key is its open session alone, and what a key's task gets
-are slots, not rows.
+State holds the open sessions of a key, with their sums. A task merges its rows to sessions before the shuffle (`early_merge`), so a
+heavy key sends one row per task and session.
 """
 
 from __future__ import annotations
 
 from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import LongType, StructField, StructType
 
-from tillstream.operators.sessions import slot_sums
-from tillstream.session import STATE_SETTINGS
+from tillstream.streaming.runs import during
 
-_OPEN = "first bigint, last bigint, total bigint, n_rows bigint"  # times in microseconds
-
-
-class _OpenSession(StatefulProcessor):
-    """Joins a key's slots to sessions; a session is given when a slot after the gap comes, or when its time is over."""
-
-    def __init__(self, key: str, gap: int) -> None:
-        self.key, self.gap = key, gap * 1_000_000
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", _OPEN)
-
-    def handleInputRows(self, key, rows, timerValues):
-        slots = pd.concat(rows).sort_values("first")
-        current = self.open.get() if self.open.exists() else None
-        closed = []
-        for slot in slots[["first", "last", "total", "n_rows"]].itertuples(index=False, name=None):
-            first, last, total, n_rows = (int(value) for value in slot)
-            if current is not None and first - current[1] <= self.gap:
-                current = (current[0], last, current[2] + total, current[3] + n_rows)
-            else:
-                closed += [] if current is None else [current]
-                current = (first, last, total, n_rows)
-        self.open.update(current)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        # a row up to a gap after the last lies in a slot that is over two gaps after it
-        self.handle.registerTimer((current[1] + 2 * self.gap) // 1000 + 1)
-        yield self._rows(key, closed)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        closed = [self.open.get()] if self.open.exists() else []
-        self.open.clear()
-        yield self._rows(key, closed)
-
-    def close(self) -> None:
-        pass
-
-    def _rows(self, key, closed) -> pd.DataFrame:
-        names = [self.key, "session_start", "session_end", "total", "n_rows"]
-        return pd.DataFrame([(key[0], *session) for session in closed], columns=names)
+_EARLY_MERGE = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
 
 
 @contextmanager
-def rocksdb(spark: SparkSession):
-    """The state store that values with timers need, for the queries started within."""
-    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
-    for name, value in STATE_SETTINGS.items():
-        spark.conf.set(name, value)
-    try:
+def early_merge(spark: SparkSession):
+    """Sessions merged in each task before the shuffle, for the queries started within."""
+    with during(spark, _EARLY_MERGE):
         yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def session_stream(rows: DataFrame, key: str, time: str, value: str, gap: int) -> DataFrame:
     """One row per session, once it is over, of a stream with a watermark on `time`; columns as of `operators.sessions.sessions`.
 
-    `value` is a whole number; a session without any has total 0. Needs the RocksDB state store; `start` it within
-    `rocksdb`.
+    `value` is a whole number; a session without any has total 0. `start` it within `early_merge`.
     """
-    slots = slot_sums(rows, key, time, value, gap)
-    slots = slots.select(
-        key, "__slot", F.unix_micros("first").alias("first"), F.unix_micros("last").alias("last"),
-        F.coalesce("total", F.lit(0)).cast("bigint").alias("total"), "n_rows",
-    )
-    shape = StructType([StructField(key, rows.schema[key].dataType)])
-    for name in ("session_start", "session_end", "total", "n_rows"):
-        shape = shape.add(name, LongType())
-    found = slots.groupBy(key).transformWithStateInPandas(_OpenSession(key, gap), shape, "append", "eventTime")
-    return found.withColumns({name: F.timestamp_micros(name) for name in ("session_start", "session_end")})
+    session = F.session_window(F.col(time), f"{gap} seconds").alias("__session")
+    # rows without a time have no window
+    summed = rows.where(F.col(time).isNotNull()).groupBy(key, session).agg(
+        F.min(time).alias("session_start"),
+        F.max(time).alias("session_end"),
+        F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias("total"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+    return summed.drop("__session")
