@@ -5,6 +5,7 @@ import itertools
 import json
 import pathlib
 from dataclasses import replace
+from types import SimpleNamespace
 
 import pytest
 from compare import database, differences
@@ -15,7 +16,7 @@ from tillstream.operators.first_orders import status_updates, with_first_flag
 from tillstream.operators.offsets import start_position
 from tillstream.plans import inputs, stream_runs
 from tillstream.plans.inputs import load
-from tillstream.session import SHUFFLE_PARTITIONS, workspace
+from tillstream.session import SHUFFLE_PARTITIONS, state_settings, workspace
 from tillstream.sinks.batches import committed_results, offset_ledger, path_exists
 from tillstream.sources.tables import table_stream
 from tillstream.sources.topics import FileTopics, KafkaTopics
@@ -388,3 +389,10 @@ def test_a_message_is_parsed_once(spark):
     assert [tuple(row) for row in parsed.collect()] == [(1, None)]
     plan = parsed._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+@pytest.mark.parametrize("master, outside", [("local", False), ("local[4]", False), ("local-cluster[3,2,1024]", True), ("spark://h:7077", True)])
+def test_state_lies_outside_the_heap_of_executors(master, outside):
+    """Executors started by a local cluster are as small as others: their state must not lie in their heap."""
+    found = state_settings(SimpleNamespace(sparkContext=SimpleNamespace(master=master)))
+    assert any("RocksDB" in value for value in found.values()) is outside
