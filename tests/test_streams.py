@@ -396,3 +396,11 @@ def test_state_lies_outside_the_heap_of_executors(master, outside):
     """Executors started by a local cluster are as small as others: their state must not lie in their heap."""
     found = state_settings(SimpleNamespace(sparkContext=SimpleNamespace(master=master)))
     assert any("RocksDB" in value for value in found.values()) is outside
+
+
+def test_staged_parts_go_when_they_are_sent(spark):
+    messages = stream_runs._staged_by_part(spark.createDataFrame([("a", 0), ("b", 1), ("c", None), ("d", 2)], "value string, __part int"))
+    stream_runs._sent(messages, 1)
+    assert [row.value for row in messages.where("__part = 2").collect()] == ["d"]
+    place = pathlib.Path(messages.where("__part = 2").inputFiles()[0].removeprefix("file:")).parent.parent
+    assert sorted(folder.name for folder in place.glob("__part=*")) == ["__part=2", "__part=__HIVE_DEFAULT_PARTITION__"]
