@@ -23,7 +23,7 @@ from tillstream.sources.topics import FileTopics, KafkaTopics
 from tillstream.streaming import launch
 from tillstream.streaming.jobs import Warehouse
 from tillstream.streaming.runs import STATE_PARTITIONS_PER_CORE, each_batch, first_number
-from tillstream.streaming.state import dedup_within, join_within
+from tillstream.streaming.state import ORDER_COPIES, dedup_within, join_within
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -398,6 +398,19 @@ def test_state_lies_outside_the_heap_of_executors(master, outside):
     assert any("RocksDB" in value for value in found.values()) is outside
 
 
+def test_the_wide_job_keeps_little(spark, warehouse):
+    """An order lies in state a few times, lines once; rows between two steps go when their batch is done."""
+    filled = {"create_time": "2024-01-01 10:00:00"}
+    send(warehouse, "dwd_order_info", 0, *[{"id": n, "final_total_amount": 9.0, "original_total_amount": 9.0, **filled} for n in range(50)])
+    send(warehouse, "dwd_order_detail", 0, *[{"id": n, "order_id": n, "order_price": 9.0, "sku_num": 1, **filled} for n in range(50)])
+    query = warehouse.wide_orders(seconds=600, time="create_time", lifetime=600)
+    query.awaitTermination()
+    assert spark.read.parquet(f"{warehouse.root}/order_wide").where("final_detail_amount = 9").count() == 50
+    assert max(o["numRowsTotal"] for o in query.lastProgress["stateOperators"]) == (ORDER_COPIES + 1) * 50 <= 200
+    for name in ("_pairs", "_running"):
+        assert not list(pathlib.Path(f"{warehouse.root}/{name}").glob("batch_id=*"))
+
+
 def test_staged_parts_go_when_they_are_sent(spark):
     messages = stream_runs._staged_by_part(spark.createDataFrame([("a", 0), ("b", 1), ("c", None), ("d", 2)], "value string, __part int"))
     stream_runs._sent(messages, 1)
